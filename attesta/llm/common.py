@@ -165,7 +165,7 @@ class Union:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(id, root) for each end of edges (a, b): root is the smallest id in reach. Large star and small star in turn
+    """(id, root), a row for each end of edges (a, b) with a <> b: root is the smallest id in reach. Large star and small star in turn
     until nothing changes; each round is written to the shared folder, so no lineage grows and no node gathers its edges."""
     edge = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     edge = stored(edge)
@@ -182,7 +182,8 @@ def components(edges: DataFrame) -> DataFrame:
         if now == before:
             break
         before = now
-    return edge.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("id"), "root")
+    roots = edge.select("v").distinct().select(F.col("v").alias("id"), F.col("v").alias("root"))
+    return edge.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(roots)
 
 
 Rows = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]

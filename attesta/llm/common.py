@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -164,19 +164,39 @@ class Union:
         return a != b
 
 
+#: Edges that one task joins in memory, at 16 bytes each.
+ONE_TASK = 1_000_000
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, root) of all nodes of this partition's edges (a, b)."""
+    parts = [(b.column("a").to_numpy(), b.column("b").to_numpy()) for b in batches]
+    if parts:
+        a, b = (np.concatenate(x) for x in zip(*parts, strict=True))
+        ids, name = np.unique(np.concatenate([a, b]), return_inverse=True)
+        forest = Union(len(ids))
+        for x, y in zip(name[: len(a)].tolist(), name[len(a) :].tolist(), strict=True):
+            forest.join(x, y)
+        root = np.array([forest.find(x) for x in range(len(ids))], np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids[root])], names=["id", "root"])
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """(id, root), a row for each end of edges (a, b) with a <> b: root is the smallest id in reach. Large star and small star in turn
-    until nothing changes; each round is written to the shared folder, so no lineage grows and no node gathers its edges."""
-    edge = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    edge = stored(edge)
-    before = None
+    """(id, root), a row for each end of edges (a, b) with a <> b: root is the smallest id in reach. Up to `ONE_TASK`
+    edges are joined in one task. More go through large star and small star in turn until nothing changes; each round
+    is written to the shared folder, so no lineage grows and no node gathers its edges."""
+    edge = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    if edge.count() <= ONE_TASK:
+        return edge.repartition(1).mapInArrow(_joined, "id long, root long")
+    edge, before = edge.toDF("u", "v"), None
     while True:
         both = edge.unionByName(edge.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
+        ends = F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
+        small = large.join(low, "u").select(F.explode(ends).alias("e")).select("e.u", "e.v")
         edge = stored(small.where("u <> v").distinct())
         now = edge.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
@@ -185,5 +205,3 @@ def components(edges: DataFrame) -> DataFrame:
     roots = edge.select("v").distinct().select(F.col("v").alias("id"), F.col("v").alias("root"))
     return edge.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(roots)
 
-
-Rows = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]

@@ -2,8 +2,8 @@
 
 1. Documents become sets of 64-bit shingle hashes; documents with equal sets form a class and leave a task as one row.
    A class is listed under the tokens of its prefix: the ceil-bounded first part of its set in one global order, of
-   which two sets of the asked similarity must share one. The order puts shingles that are frequent in a bounded sample
-   last; any order is exact, this one keeps lists short.
+   which two sets of the asked similarity must share one. The order goes by a counting sketch of all shingles, rare
+   ones first; any order is exact, this one keeps lists short.
 2. Under each token, classes are points: shingles are hashed into 16 groups and the group counts are coordinates. An
    R-tree (packed by size and coordinates) joins them: summed minima of coordinates, of boxes first and of points
    then, bound the overlap. Pairs that may reach the similarity are only united, so a list of m classes yields under
@@ -26,11 +26,11 @@ from pyspark.sql import functions as F
 from attesta.llm.common import U64, batches_of, by_bucket, components, mix, pack, partitions, stored, unpack, word_hashes
 from attesta.llm.repeats import texts
 
-GROUPS, LEAF, BLOCK = 16, 64, 4096
+GROUPS, LEAF, BLOCK, SLOTS = 16, 64, 4096, 25
 TOKENS, MEMBERS = 0, 1
 _MOVE = pa.schema([("p", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary())])
 MOVE = "p int, kind int, blob binary"
-_TOKEN = (np.uint64, np.uint64, np.int64, np.int32, *[np.int32] * GROUPS)  # token, print, doc, size, group counts
+_TOKEN = (np.uint32, np.uint64, np.int64, np.int32, *[np.int32] * GROUPS)  # half a token, print, doc, size, group counts
 
 
 def shingles(raw: bytes, n: int) -> np.ndarray:
@@ -92,21 +92,38 @@ def tree_join(vec: np.ndarray, size: np.ndarray, label: np.ndarray, percent: int
                     unite(label, r, hit)
 
 
-def _frequent(docs: DataFrame, n: int, sample: int = 2048, most: int = 200_000) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles met in several documents of a bounded sample, and in how many. Only the order of prefixes uses them."""
-    share = min(1.0, 2 * sample / max(1, docs.count()))
-    got = docs.where("doc_id is not null").sample(share, 11).limit(sample).toArrow()
-    sets = [shingles(t, n) for b in got.to_batches() for _, t in texts(b)]
-    token, count = np.unique(np.concatenate(sets or [np.empty(0, U64)]), return_counts=True)
-    keep = np.argsort(-count, kind="stable")[:most]
-    keep = np.sort(keep[count[keep] > 1])
-    return token[keep], count[keep]
+def _sketch(docs: DataFrame, n: int) -> np.ndarray:
+    """How often shingles occur over all documents: a count for each of 2**`SLOTS` hash slots, one byte on a scale that
+    is exact up to 32 and logarithmic above. Its size is fixed; a fuller sketch only makes prefixes less selective."""
+    ranges = 64
+    width = (1 << SLOTS) // ranges
 
+    def count(batches):
+        for b in batches:
+            found = [shingles(raw, n) >> U64(64 - SLOTS) for _, raw in texts(b)]
+            slot, times = np.unique(np.concatenate([*found, np.empty(0, U64)]).astype(np.uint32), return_counts=True)
+            edge = np.searchsorted(slot, np.arange(ranges + 1) * width)
+            rows = [(x, pack(np.diff(slot[edge[x] : edge[x + 1]], prepend=np.uint32(0)), np.minimum(times[edge[x] : edge[x + 1]], 65535).astype(np.uint16))) for x in range(ranges) if edge[x] < edge[x + 1]]
+            yield batches_of(_MOVE, p=[r[0] for r in rows], kind=[TOKENS] * len(rows), blob=[r[1] for r in rows])
+
+    def total(batches):
+        for x, rows in by_bucket(batches).items():
+            sums = np.zeros(width, np.int64)
+            for _, b in rows:
+                step, times = unpack(b, np.uint32, np.uint16)
+                sums[np.cumsum(step, dtype=np.int64) - x * width] += times
+            code = np.where(sums < 32, sums, np.minimum(255, 32 + 16 * np.log2(np.maximum(sums, 32) / 32))).astype(np.uint8)
+            yield batches_of(_MOVE, p=[x], kind=[TOKENS], blob=[code.tobytes()])
+
+    out = np.zeros(1 << SLOTS, np.uint8)
+    for r in docs.mapInArrow(count, MOVE).repartition(partitions(docs.sparkSession), "p").mapInArrow(total, MOVE).collect():  # 64 rows
+        out[r["p"] * width : (r["p"] + 1) * width] = np.frombuffer(r["blob"], np.uint8)
+    return out
 
-def _scan(docs: DataFrame, n: int, percent: int, buckets: int, frequent) -> DataFrame:
-    common, often = frequent
 
+def _scan(docs: DataFrame, n: int, percent: int, buckets: int, sketch) -> DataFrame:
     def run(batches):
+        often = np.frombuffer(sketch.value, np.uint8)
         for b in batches:
             tok, prints, ids, sizes, vecs = [], [], [], [], []
             members: list[tuple[int, int, int]] = []
@@ -120,10 +137,7 @@ def _scan(docs: DataFrame, n: int, percent: int, buckets: int, frequent) -> Data
                 key = (fingerprint(s), len(s))
                 members.append((doc, *key))
                 if key not in least:
-                    order = s
-                    if len(common):
-                        at = np.minimum(np.searchsorted(common, s), len(common) - 1)
-                        order = s[np.lexsort((s, np.where(common[at] == s, often[at], 0)))]
+                    order = s[np.argsort(often[(s >> U64(64 - SLOTS)).astype(np.int64)], kind="stable")]  # s is sorted
                     sets[key] = order[: len(s) - -(-percent * len(s) // 100) + 1]
                     vecs.append(coordinates(s))
                 least[key] = min(doc, least.get(key, doc))
@@ -136,7 +150,7 @@ def _scan(docs: DataFrame, n: int, percent: int, buckets: int, frequent) -> Data
             if tok:
                 rep = np.repeat(np.arange(len(tok)), [len(t) for t in tok])
                 flat = np.concatenate(tok)
-                bucket = ((flat >> U64(40)) % U64(buckets)).astype(np.int64)
+                bucket = ((flat & U64((1 << 32) - 1)) // U64(GROUPS) % U64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 edge = np.searchsorted(bucket[order], np.arange(buckets + 1))
                 columns = (np.array(prints, U64), np.array(ids, np.int64), np.array(sizes, np.int32), np.array(vecs, np.int32))
@@ -146,7 +160,7 @@ def _scan(docs: DataFrame, n: int, percent: int, buckets: int, frequent) -> Data
                         r = rep[o]
                         p.append(x)
                         kind.append(TOKENS)
-                        blob.append(pack(flat[o], columns[0][r], columns[1][r], columns[2][r], *columns[3][r].T))
+                        blob.append(pack((flat[o] >> U64(32)).astype(np.uint32), columns[0][r], columns[1][r], columns[2][r], *columns[3][r].T))
             m = np.array(members, dtype=object).reshape(-1, 3)
             fp = m[:, 1].astype(U64)
             bucket = (fp % U64(buckets)).astype(np.int64)
@@ -163,9 +177,11 @@ def _scan(docs: DataFrame, n: int, percent: int, buckets: int, frequent) -> Data
 def _listed(rows: list[bytes], percent: int):
     """Edges (doc, doc) that connect what may be similar among the classes listed under this bucket's tokens."""
     cols = [np.concatenate(x) for x in zip(*(unpack(b, *_TOKEN) for b in rows), strict=True)]
-    key = np.stack([cols[1], cols[3].astype(U64)], axis=1)
-    _, first, name = np.unique(key, axis=0, return_index=True, return_inverse=True)
-    name = name.reshape(-1)
+    order = np.lexsort((cols[3], cols[1]))
+    fp, size = cols[1][order], cols[3][order]
+    fresh = np.concatenate([[True], (fp[1:] != fp[:-1]) | (size[1:] != size[:-1])])
+    first, name = order[fresh], np.empty(len(order), np.int64)
+    name[order] = np.cumsum(fresh) - 1
     doc = np.full(len(first), np.iinfo(np.int64).max)
     np.minimum.at(doc, name, cols[2])
     size, vec = cols[3][first].astype(np.int64), np.stack([c[first] for c in cols[4:]], axis=1).astype(np.int64)
@@ -234,7 +250,7 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
     """docs (doc_id, text) -> doc_id, n_shingles, component_id: a row for each row with a doc_id."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    buckets, parts = 3 * partitions(spark), partitions(spark)
+    buckets = parts = partitions(spark)
 
     def settle(batches):
         for rows in by_bucket(batches).values():
@@ -251,7 +267,7 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
                 a, b = _listed(listed, percent)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), TOKENS, np.int32)), pa.array(a), pa.array(b), pa.array(np.zeros(len(a), np.int64))], names=["kind", "a", "b", "n"])
 
-    found = stored(_scan(docs, n, percent, buckets, _frequent(docs, n)).repartition(parts, "p").mapInArrow(settle, "kind int, a long, b long, n long"))
+    found = stored(_scan(docs, n, percent, buckets, spark.sparkContext.broadcast(_sketch(docs, n).tobytes())).repartition(parts, "p").mapInArrow(settle, "kind int, a long, b long, n long"))
     clusters = stored(components(found.where(F.col("kind") == TOKENS).select("a", "b")))
     counts = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("m"))
     largest = counts.agg(F.max("m")).first()[0] or 0
@@ -293,7 +309,7 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
                 reach = _verify(doc[own], [flat[edge[x] : edge[x + 1]] for x in own], percent)
                 yield pa.RecordBatch.from_arrays([pa.array(doc[own]), pa.array(reach)], names=["id", "root"])
 
-    text = docs.join(member.withColumnRenamed("id", "doc_id"), "doc_id")
+    text = docs.join(member.withColumnRenamed("id", "doc_id").hint("merge"), "doc_id")
     linked = text.mapInArrow(fetch, MOVE).repartition(parts, "p").mapInArrow(verify, "id long, root long")
     if largest > BLOCK:
         linked = components(linked.select(F.col("id").alias("a"), F.col("root").alias("b")))

@@ -43,9 +43,14 @@ def fold(text: Column) -> Column:
     return F.translate(text, _FROM, _TO)
 
 
-@F.pandas_udf("string")
-def fold_exact(text: pd.Series) -> pd.Series:
-    return text.map(lambda s: None if s is None else "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c)))
+def fold_exact(text: Column) -> Column:
+    """Without accents, for all of Unicode; an Arrow UDF."""
+
+    @F.pandas_udf("string")
+    def run(text: pd.Series) -> pd.Series:
+        return text.map(lambda s: None if s is None else "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c)))
+
+    return run(text)
 
 
 def norm_title(title: Column, folded=fold) -> Column:

@@ -14,8 +14,9 @@ from attesta.functions import text as X
 
 
 def first_match(refs: DataFrame, index: DataFrame, key: str, order: str, value: str) -> DataFrame:
-    """refs with the value of the first index row of the same key, by order; null without one."""
-    best = index.where(F.col(key).isNotNull()).groupBy(key).agg(F.min_by(value, order).alias(value))
+    """refs with the value of the first index row of the same key, by order and then
+    value; null without one."""
+    best = index.where(F.col(key).isNotNull()).groupBy(key).agg(F.min_by(value, F.struct(order, value)).alias(value))
     return refs.join(best, key, "left")
 
 

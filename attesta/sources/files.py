@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import tarfile
+import tempfile
 import uuid
 import xml.etree.ElementTree as ET
 import zlib
@@ -118,8 +119,7 @@ def tei_contexts(files: DataFrame, references: DataFrame) -> DataFrame:
     return c.join(bridge, ["paper_id", "fp"]).select("paper_id", "ref_id", "marker", "sentence", F.nullif("section", F.lit("")).alias("section"), "ord")
 
 
-@F.pandas_udf("string")
-def tex_source(content: pd.Series) -> pd.Series:
+def tex_source(content: Column) -> Column:
     """All .tex files of an e-print payload (tar, gzipped or not; or one gzipped file); empty where there is none."""
 
     def one(raw: bytes | None) -> str:
@@ -135,7 +135,11 @@ def tex_source(content: pd.Series) -> pd.Series:
         except tarfile.TarError:
             return raw.decode("utf-8", "replace")
 
-    return content.map(one)
+    @F.pandas_udf("string")
+    def run(payloads: pd.Series) -> pd.Series:
+        return payloads.map(one)
+
+    return run(content)
 
 
 def valid_pdfs(files: DataFrame, least: int = 10_000) -> DataFrame:
@@ -192,3 +196,17 @@ class Cache:
         todo = inputs.join(self.rows().select(self.key), self.key, "left_anti")
         compute(todo).write.mode("append").parquet(self.path)
         return self.rows()
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new path in the folder that all executors share, or a local one where the session names none."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{(root or tempfile.mkdtemp(prefix='attesta-')).rstrip('/')}/attesta-{uuid.uuid4().hex}"
+
+
+def drained(stream: DataFrame, name: str) -> DataFrame:
+    """All rows of a finite stream, written once as Parquet by a query with its own checkpoint."""
+    path = scratch(stream.sparkSession)
+    q = stream.writeStream.format("parquet").option("path", f"{path}/{name}").option("checkpointLocation", f"{path}/state").outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/{name}")

@@ -200,4 +200,5 @@ def wilson(k: Column, n: Column, z: float = 1.96) -> Column:
     """struct(low, high) of the score interval; zeros without trials."""
     p, m = k / F.nullif(n, F.lit(0)), F.nullif(n, F.lit(0))
     centre, spread = (p + z * z / (2 * m)) / (1 + z * z / m), z * F.sqrt(p * (1 - p) / m + z * z / (4 * m * m)) / (1 + z * z / m)
-    return F.struct(F.coalesce(F.greatest(F.lit(0.0), centre - spread), F.lit(0.0)).alias("low"), F.coalesce(F.least(F.lit(1.0), centre + spread), F.lit(0.0)).alias("high"))
+    low, high = F.greatest(F.lit(0.0), centre - spread), F.least(F.lit(1.0), centre + spread)
+    return F.struct(F.when(n > 0, low).otherwise(0.0).alias("low"), F.when(n > 0, high).otherwise(0.0).alias("high"))

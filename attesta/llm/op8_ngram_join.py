@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attesta.llm.common import U64, batches_of, by_bucket, components, mix, pack, partitions, stored, unpack, word_hashes
+from attesta.llm.common import U64, Union, batches_of, by_bucket, components, mix, pack, partitions, stored, tidy, unpack, word_hashes
 from attesta.llm.repeats import texts
 
 GROUPS, LEAF, BLOCK, SLOTS = 16, 64, 4096, 25
@@ -100,11 +100,13 @@ def _sketch(docs: DataFrame, n: int) -> np.ndarray:
 
     def count(batches):
         for b in batches:
-            found = [shingles(raw, n) >> U64(64 - SLOTS) for _, raw in texts(b)]
-            slot, times = np.unique(np.concatenate([*found, np.empty(0, U64)]).astype(np.uint32), return_counts=True)
+            found = [(shingles(raw, n) >> U64(64 - SLOTS)).astype(np.uint32) for _, raw in texts(b)]
+            slot, times = np.unique(np.concatenate([*found, np.empty(0, np.uint32)]), return_counts=True)
+            del found
             edge = np.searchsorted(slot, np.arange(ranges + 1) * width)
             rows = [(x, pack(np.diff(slot[edge[x] : edge[x + 1]], prepend=np.uint32(0)), np.minimum(times[edge[x] : edge[x + 1]], 65535).astype(np.uint16))) for x in range(ranges) if edge[x] < edge[x + 1]]
             yield batches_of(_MOVE, p=[r[0] for r in rows], kind=[TOKENS] * len(rows), blob=[r[1] for r in rows])
+        tidy()
 
     def total(batches):
         for x, rows in by_bucket(batches).items():
@@ -123,7 +125,7 @@ def _sketch(docs: DataFrame, n: int) -> np.ndarray:
 
 def _scan(docs: DataFrame, n: int, percent: int, buckets: int, sketch) -> DataFrame:
     def run(batches):
-        often = np.frombuffer(sketch.value, np.uint8)
+        often = sketch.value
         for b in batches:
             tok, prints, ids, sizes, vecs = [], [], [], [], []
             members: list[tuple[int, int, int]] = []
@@ -170,6 +172,7 @@ def _scan(docs: DataFrame, n: int, percent: int, buckets: int, sketch) -> DataFr
                 kind.append(MEMBERS)
                 blob.append(pack(m[own, 0].astype(np.int64), fp[own], m[own, 2].astype(np.int64)))
             yield batches_of(_MOVE, p=p, kind=kind, blob=blob)
+        tidy()
 
     return docs.mapInArrow(run, MOVE)
 
@@ -184,29 +187,37 @@ def _listed(rows: list[bytes], percent: int):
     name[order] = np.cumsum(fresh) - 1
     doc = np.full(len(first), np.iinfo(np.int64).max)
     np.minimum.at(doc, name, cols[2])
-    size, vec = cols[3][first].astype(np.int64), np.stack([c[first] for c in cols[4:]], axis=1).astype(np.int64)
     order = np.lexsort((name, cols[0]))
     tok, name = cols[0][order], name[order]
     fresh = np.concatenate([[True], (tok[1:] != tok[:-1]) | (name[1:] != name[:-1])])
     tok, name = tok[fresh], name[fresh]
+    shared = np.concatenate([[False], tok[1:] == tok[:-1]])
+    shared[:-1] |= shared[1:]
+    if not shared.any():
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    used, name = np.unique(name[shared], return_inverse=True)
+    tok, doc, first = tok[shared], doc[used], first[used]
+    size, vec = cols[3][first].astype(np.int64), np.stack([c[first] for c in cols[4:]], axis=1).astype(np.int64)
+    del cols, order, fresh, fp
     cut = np.flatnonzero(np.concatenate([[True], tok[1:] != tok[:-1], [True]]))
-    label = np.arange(len(first))
+    forest = Union(len(first))
     length = np.diff(cut)
     two = cut[:-1][length == 2]
     a, b = name[two], name[two + 1]
     ok = may_match(vec[a], size[a], vec[b], size[b], percent)
-    for x, y in np.unique(np.stack([a[ok], b[ok]], axis=1), axis=0):
-        unite(label, x, np.array([y])) if label[x] != label[y] else None
+    for x, y in zip(a[ok].tolist(), b[ok].tolist(), strict=True):
+        forest.join(x, y)
     for s, m in zip(cut[:-1][length > 2], length[length > 2], strict=True):
         own = name[s : s + m]
-        part = label[own]
+        part = np.array([forest.find(x) for x in own.tolist()])
         if (part != part[0]).any():
             mine = np.unique(part, return_inverse=True)[1]
             tree_join(vec[own], size[own], mine, percent)
-            for x in np.unique(mine):
-                joined = np.unique(part[mine == x])
-                if len(joined) > 1:
-                    label[np.isin(label, joined)] = joined[0]
+            order = np.argsort(mine, kind="stable")
+            for x, y in zip(order[:-1].tolist(), order[1:].tolist(), strict=True):
+                if mine[x] == mine[y]:
+                    forest.join(int(part[x]), int(part[y]))
+    label = np.array([forest.find(x) for x in range(len(first))], np.int64)
     head = np.full(len(first), np.iinfo(np.int64).max)
     np.minimum.at(head, label, doc)
     root = head[label]
@@ -266,8 +277,9 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
             if listed:
                 a, b = _listed(listed, percent)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), TOKENS, np.int32)), pa.array(a), pa.array(b), pa.array(np.zeros(len(a), np.int64))], names=["kind", "a", "b", "n"])
+        tidy()
 
-    found = stored(_scan(docs, n, percent, buckets, spark.sparkContext.broadcast(_sketch(docs, n).tobytes())).repartition(parts, "p").mapInArrow(settle, "kind int, a long, b long, n long"))
+    found = stored(_scan(docs, n, percent, buckets, spark.sparkContext.broadcast(_sketch(docs, n))).repartition(parts, "p").mapInArrow(settle, "kind int, a long, b long, n long"))
     clusters = stored(components(found.where(F.col("kind") == TOKENS).select("a", "b")))
     counts = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("m"))
     largest = counts.agg(F.max("m")).first()[0] or 0
@@ -292,6 +304,7 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
                 p.append(k)
                 blob.append(len(head).to_bytes(8, "little") + head + pack(np.concatenate([r[4] for r in rows])))
             yield batches_of(_MOVE, p=p, kind=[TOKENS] * len(p), blob=blob)
+        tidy()
 
     def verify(batches):
         for rows in by_bucket(batches).values():
@@ -308,6 +321,7 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
                 own = order[a:z]
                 reach = _verify(doc[own], [flat[edge[x] : edge[x + 1]] for x in own], percent)
                 yield pa.RecordBatch.from_arrays([pa.array(doc[own]), pa.array(reach)], names=["id", "root"])
+        tidy()
 
     text = docs.join(member.withColumnRenamed("id", "doc_id").hint("merge"), "doc_id")
     linked = text.mapInArrow(fetch, MOVE).repartition(parts, "p").mapInArrow(verify, "id long, root long")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -125,6 +126,25 @@ def by_bucket(batches: Iterator[pa.RecordBatch], key: str = "p") -> dict[int, li
     return found
 
 
+def lean(spark: SparkSession, mb: int = 8) -> None:
+    """Arrow batches of at most mb, where the session allows larger ones: a batch of texts is held several times over,
+    in the JVM, on the way and in Python."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key).lower()
+    number, unit = re.match(r"(\d+)([kmgt]?)", now).groups()
+    if int(number) * 1024 ** ("kmgt".index(unit) + 1 if unit else 0) > mb << 20:
+        spark.conf.set(key, f"{mb << 20}")
+
+
+def tidy() -> None:
+    """Gives freed memory back to the system, for idle Python workers live on beside the next stage's."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another libc
+
+
 def batches_of(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 

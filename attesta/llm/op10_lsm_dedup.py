@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from attesta.llm import repeats
-from attesta.llm.common import partitions, word_hashes, word_spans
+from attesta.llm.common import partitions, tidy, word_hashes, word_spans
 
 GRAM = 4
 
@@ -91,6 +91,7 @@ def remove_repeats(docs: DataFrame, carry: list[str] | None = None, width: int =
                 kept.append(b" ".join(w for x, y in zip([0, *e.tolist()], [*s.tolist(), total], strict=True) for w in words[x:y]))
             span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("carry"), pa.array(n, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary()).cast(pa.string())], names=["doc_id", "carry", "n_words", "spans", "kept"])
+        tidy()
 
     out = T.StructType([base.schema["doc_id"], base.schema["carry"], T.StructField("n_words", T.LongType()), T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))), T.StructField("kept", T.StringType())])
     return joined.mapInArrow(finish, out)

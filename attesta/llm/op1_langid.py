@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from attesta.llm.common import U64, mix
+from attesta.llm.common import U64, lean, mix, tidy
 
 LENGTHS = (2, 3, 4)
 PIECE = 1 << 18  # characters handled at once
@@ -171,10 +171,14 @@ def identify(docs: DataFrame, filters: Filters) -> DataFrame:
         f.nullable = True
 
     def run(batches):
-        for b in batches:
-            names, scores = filters.predict(b.column(b.schema.names.index("text")).to_pylist())
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*b.schema.names, "lang_pred", "score"])
-
+        for whole in batches:
+            for low in range(0, whole.num_rows, 1000):
+                b = whole.slice(low, 1000)
+                names, scores = filters.predict(b.column(b.schema.names.index("text")).to_pylist())
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*b.schema.names, "lang_pred", "score"])
+        tidy()
+
+    lean(docs.sparkSession)
     return docs.mapInArrow(run, schema)
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from attesta.llm.common import batches_of
+from attesta.llm.common import batches_of, lean, tidy
 
 LONG, WORDS = 256, 1_000_000
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -56,7 +56,7 @@ def pair_table(path: str) -> tuple[str, str]:
     order = np.argsort(np.array(left), kind="stable")
     left, right, made = (np.array(x, np.int64)[order] for x in (left, right, made))
     rows, first, size = np.unique(left, return_index=True, return_counts=True)
-    table, taken, shift = np.full(_TABLE, 1 << 61, np.int64), np.zeros(_TABLE, bool), np.zeros(1 << 16, np.int64)
+    table, taken, shift = np.full(_TABLE, 1 << 61, np.int64), np.zeros(_TABLE, bool), np.zeros(int(rows.max()) + 1, np.int64)
     draw = np.random.default_rng(0)
     for j in np.argsort(-size, kind="stable"):
         cells = right[first[j] : first[j] + size[j]]
@@ -138,9 +138,9 @@ class _Numbers(dict):
 _MIDDLE = pa.schema([("carry", pa.binary()), ("word", pa.list_(pa.int32())), ("long", pa.binary()), ("numbers", pa.binary())])
 
 
-def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, known_words: int = WORDS) -> DataFrame:
     """docs (any columns, text among them) -> the same columns with ids (binary: little-endian unsigned 32-bit),
-    n_tokens and decoded (binary)."""
+    n_tokens and decoded (binary). known_words: the size at which a task's dictionary starts anew."""
     schema = docs.schema
     text_at = schema.names.index("text")
 
@@ -153,16 +153,20 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         for b in batches:
             for low in range(0, b.num_rows, 500):
                 part = b.slice(low, 500)
-                fresh = len(known) > WORDS
+                fresh = len(known) > known_words
                 if fresh:
                     known = _Numbers()
                 known.new = []
                 numbers = [np.fromiter(map(known.__getitem__, find(t)), np.int32).tobytes() if t else b"" for t in part.column(text_at).to_pylist()]
                 # a null number of a null word tells the other side to start anew
                 new = [w.encode() for w in known.new]
-                short = [w if len(w) <= LONG else b"" for w in new]
+                # a word of the vocabulary is one token from the start, even if no merges lead to it
+                short = [b"" if len(w) > LONG else b"." if w in have else w for w in new]
                 edge = np.concatenate([[0], np.cumsum([len(w) for w in short])]).astype(np.int32)
-                body = pa.ListArray.from_arrays(pa.array(edge), pa.array(byte_rank[np.frombuffer(b"".join(short), np.uint8)]))
+                flat = byte_rank[np.frombuffer(b"".join(short), np.uint8)]
+                one = [i for i, w in enumerate(new) if w in have and len(w) <= LONG]
+                flat[edge[one]] = [have[new[i]] for i in one]
+                body = pa.ListArray.from_arrays(pa.array(edge), pa.array(flat))
                 if fresh:
                     yield batches_of(_MIDDLE, carry=[None], word=[None], long=[None], numbers=[None])
                 for a in range(0, len(new), 10_000):
@@ -185,6 +189,8 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         rows, due = None, []
         offset = np.zeros(1, np.int64)
         for b in batches:
+            if not b.num_rows:
+                continue
             word, long, numbers, carry = (b.column(b.schema.names.index(n)) for n in ("word", "long", "numbers", "carry"))
             # runs of words and of documents in turn
             is_doc = numbers.is_valid().to_numpy(zero_copy_only=False)
@@ -203,7 +209,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                         parts = np.split(ids, np.cumsum(count)[:-1])
                         for i, w in enumerate(extra.to_pylist()):
                             if w is not None:
-                                parts[i] = np.array(merge_long(w, have), np.int32)
+                                parts[i] = np.array([have[w]] if w in have else merge_long(w, have), np.int32)
                                 count[i] = len(parts[i])
                         ids = np.concatenate(parts)
                     chunks.append((ids, count))
@@ -223,7 +229,9 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                         due.append(flat[np.repeat(offset[at] - end + n, n) + np.arange(total)] if total else flat[:0])
                         if len(due) == rows.num_rows:
                             yield pa.RecordBatch.from_arrays([*rows.columns, pa.array([x.astype("<u4").tobytes() for x in due], pa.binary()), pa.array([len(x) for x in due], pa.int64()), pa.array([b"".join(map(piece.__getitem__, x.tolist())) for x in due], pa.binary())], names=[*rows.schema.names, "ids", "n_tokens", "decoded"])
+        tidy()
 
+    lean(docs.sparkSession)
     middle = docs.mapInArrow(words, "carry binary, word array<int>, long binary, numbers binary")
     middle = middle.select("carry", fold(F.col("word"), path).alias("word"), "long", "numbers")
     out = T.StructType([*(T.StructField(f.name, f.dataType) for f in schema), T.StructField("ids", T.BinaryType()), T.StructField("n_tokens", T.LongType()), T.StructField("decoded", T.BinaryType())])

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from attesta.llm import repeats
-from attesta.llm.common import partitions
+from attesta.llm.common import partitions, tidy
 
 GRAM = 32
 
@@ -56,6 +56,7 @@ def remove_repeats(docs: DataFrame, carry: list[str] | None = None, width: int =
                 kept.append(b"".join(raw[x:y] for x, y in zip([0, *e.tolist()], [*s.tolist(), len(raw)], strict=True)))
             span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("carry"), pa.array(n, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary())], names=["doc_id", "carry", "n_bytes", "spans", "kept"])
+        tidy()
 
     out = T.StructType([base.schema["doc_id"], base.schema["carry"], T.StructField("n_bytes", T.LongType()), T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))), T.StructField("kept", T.BinaryType())])
     return joined.mapInArrow(finish, out)

@@ -14,7 +14,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attesta.llm.common import batches_of, by_bucket, pack, partitions, stored, unpack
+from attesta.llm.common import batches_of, by_bucket, pack, partitions, stored, tidy, unpack
 from attesta.llm.windows import contest, packed, settle, stretches, unpacked
 
 MOVE = "p int, kind int, blob binary"
@@ -46,12 +46,13 @@ def scan(docs: DataFrame, tokens: Tokens, w: int, k: int, same_doc: bool, splitt
                 kind.append(INTERVALS)
                 blob.append(pack(*(np.asarray(c, np.int64) for c in out)))
             bucket = np.searchsorted(splitters, kept[0], "right")
-            cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else []
-            for a, z in zip(cut, [*cut[1:], len(bucket)], strict=True):
+            cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(bucket) else []
+            for a, z in zip(cut[:-1], cut[1:], strict=True):
                 p.append(int(bucket[a]))
                 kind.append(STRETCHES)
                 blob.append(packed([c[a:z] for c in kept]))
             yield batches_of(_MOVE, p=p, kind=kind, blob=blob)
+        tidy()
 
     return docs.select("doc_id", "text").mapInArrow(run, MOVE)
 
@@ -90,6 +91,7 @@ def settled(moved: DataFrame, same_doc: bool, keep_run: bool = False) -> DataFra
                 yield _rows(CONTESTED, p, doc[live], start[live], count[live], gram[live], offset[live])
             if keep_run and len(kept[0]):
                 yield batches_of(_FOUND, kind=[RUN], doc=[None], start=[None], count=[None], gram=[None], offset=[None], p=[p], blob=[packed(kept)])
+        tidy()
 
     n = partitions(moved.sparkSession)
     return stored(moved.repartition(n, "p").mapInArrow(run, FOUND))
@@ -122,6 +124,7 @@ def contested(docs: DataFrame, found: DataFrame, tokens: Tokens, w: int, same_do
                 head = pack(*ids)
                 blobs.append(len(head).to_bytes(8, "little") + head + pack(body))
             yield batches_of(_MOVE, p=ps, kind=[CONTESTED] * len(ps), blob=blobs)
+        tidy()
 
     kind = tokens(b"a b").dtype.type
 
@@ -138,6 +141,7 @@ def contested(docs: DataFrame, found: DataFrame, tokens: Tokens, w: int, same_do
             text = [whole[a:z] for a, z in zip(at[:-1], at[1:], strict=True)]
             new = np.ones(len(doc), bool) if newer_than is None else doc > newer_than
             yield _rows(INTERVALS, p, *contest(gram.view(np.uint64), doc, start, count.astype(np.int32), offset.astype(np.int32), text, w, same_doc, new))
+        tidy()
 
     n = partitions(docs.sparkSession)
     return text.join(wanted, "doc").mapInArrow(cut, MOVE).repartition(n, "p").mapInArrow(compare, FOUND)

@@ -19,7 +19,7 @@ import numpy as np
 
 from attesta.llm.common import BYTE_HASH, U64, mix, pack, powers, runs, unpack
 
-CHUNK = 1 << 19  # tokens handled at once; bounds memory for texts of any length
+CHUNK = 1 << 18  # tokens handled at once; bounds memory for texts of any length
 BASE = 0x9E3779B97F4A7C15 | 1
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
 KINDS = (np.uint64, np.uint64, np.int64, np.int64, np.int32, np.int32)  # gram, content, doc, start, count, offset
@@ -174,7 +174,7 @@ def multikey(keys: np.ndarray, group: np.ndarray) -> np.ndarray:
     return final
 
 
-def contest(gram, doc, start, count, offset, text: list[np.ndarray], w: int, same_doc: bool, new: np.ndarray, limit: int = 1 << 18):
+def contest(gram, doc, start, count, offset, text: list[np.ndarray], w: int, same_doc: bool, new: np.ndarray, limit: int = 1 << 15):
     """Compares contested stretches window by window. text: the tokens of each; bytes, or 64-bit words.
     Returns intervals of windows that an equal one precedes."""
     found = []

@@ -15,6 +15,8 @@ from attesta.llm.common import WORD_SQL, stored
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Documents with a smaller share of known n-grams are in no language that was learnt.
 LEAST_SCORE = 0.5
+#: Words that a task of the last stage remembers; fewer than alone, for earlier stages' Python workers live on.
+KNOWN_WORDS = 250_000
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +56,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of whole texts as little-endian unsigned 32-bit integers."""
-    return op3_bpe.encode(op3_bpe.fewer_tasks(docs.select("doc_id", "lang", "source", "text")), *op3_bpe.public()).select("doc_id", "lang", "source", "n_tokens", "ids")
+    return op3_bpe.encode(op3_bpe.fewer_tasks(docs.select("doc_id", "lang", "source", "text")), *op3_bpe.public(), known_words=KNOWN_WORDS).select("doc_id", "lang", "source", "n_tokens", "ids")
 
 
 STAGES = [("language", language), ("near_duplicates", near_duplicates), ("repeats", repeats), ("mixture", mixture), ("token_ids", token_ids)]

@@ -12,11 +12,13 @@ not read; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-CAPACITY, POOL = 2048, 1 << 22
+CAPACITY, POOL, WORDS = 2048, 1 << 22, 500_000
 _PIECE = pa.struct([("doc_id", pa.int64()), ("part", pa.int32()), ("length", pa.int32())])
 _OUT = pa.schema([("row_id", pa.string()), ("n_tokens", pa.int64()), ("segments", pa.list_(_PIECE)), ("cu_seqlens", pa.list_(pa.int32())), ("ids", pa.binary()), ("positions", pa.binary())])
 OUT = "row_id string, n_tokens long, segments array<struct<doc_id: long, part: int, length: int>>, cu_seqlens array<int>, ids binary, positions binary"
@@ -73,6 +75,20 @@ def pack(lengths: list[int], capacity: int = CAPACITY) -> list[list[int]]:
     return rows
 
 
+class _Known(dict):
+    """Ids of words as bytes, found when first asked for; starts anew after `WORDS` words."""
+
+    def __init__(self, have: dict[bytes, int], merge):
+        self.have, self.merge = have, merge
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) > WORDS:
+            self.clear()
+        raw = word.encode()
+        ids = self[word] = np.array([self.have[raw]] if raw in self.have else self.merge(raw), "<u4").tobytes()
+        return ids
+
+
 def packed(docs: DataFrame, path: str, pattern: str, capacity: int = CAPACITY) -> DataFrame:
     """docs (doc_id, text) -> packed rows of the ids of the byte-level vocabulary at path."""
 
@@ -85,40 +101,29 @@ def packed(docs: DataFrame, path: str, pattern: str, capacity: int = CAPACITY) -
         have = ranks(path)
         coder = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=have, special_tokens={})
         find = regex.compile(pattern).findall
-        known: dict[str, list[int]] = {}
+        known = _Known(have, coder._encode_single_piece)
+        count = np.arange(capacity, dtype="<u4").tobytes()
         pool, size = [], 0
 
-        def encode(text: str) -> np.ndarray:
-            out: list[int] = []
-            for w in find(text):
-                ids = known.get(w)
-                if ids is None:
-                    if len(known) > 500_000:
-                        known.clear()
-                    raw = w.encode()
-                    ids = known[w] = [have[raw]] if raw in have else coder._encode_single_piece(raw)
-                out += ids
-            return np.array(out, np.uint32)
-
         def flush():
             nonlocal pool, size
             pool.sort(key=lambda x: (-len(x[2]), x[0] is None, x[0] or 0, x[1]))
-            rows = pack([len(x[2]) for x in pool], capacity)
+            rows = pack([len(x[2]) // 4 for x in pool], capacity)
             for low in range(0, len(rows), 256):
                 out = []
                 for row in rows[low : low + 256]:
                     own = [pool[i] for i in row]
-                    n = [len(x[2]) for x in own]
-                    out.append((f"{own[0][0]}.{own[0][1]}", sum(n), [{"doc_id": x[0], "part": x[1], "length": m} for x, m in zip(own, n, strict=True)], [0, *np.cumsum(n).tolist()], np.concatenate([x[2] for x in own]).astype("<u4").tobytes(), np.concatenate([np.arange(m, dtype="<u4") for m in n]).tobytes()))
+                    n = [len(x[2]) // 4 for x in own]
+                    out.append((f"{own[0][0]}.{own[0][1]}", sum(n), [{"doc_id": x[0], "part": x[1], "length": m} for x, m in zip(own, n, strict=True)], list(accumulate(n, initial=0)), b"".join(x[2] for x in own), b"".join(count[: 4 * m] for m in n)))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _OUT, strict=True)], schema=_OUT)
             pool, size = [], 0
 
         for b in batches:
             for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                ids = encode(text or "")
-                for part, at in enumerate(range(0, len(ids), capacity)):
-                    pool.append((doc, part, ids[at : at + capacity]))
-                size += len(ids)
+                ids = b"".join(map(known.__getitem__, find(text or "")))
+                for part, at in enumerate(range(0, len(ids), 4 * capacity)):
+                    pool.append((doc, part, ids[at : at + 4 * capacity]))
+                size += len(ids) // 4
                 if size >= POOL:
                     yield from flush()
         yield from flush()

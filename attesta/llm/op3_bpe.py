@@ -56,7 +56,7 @@ def pair_table(path: str) -> tuple[str, str]:
     order = np.argsort(np.array(left), kind="stable")
     left, right, made = (np.array(x, np.int64)[order] for x in (left, right, made))
     rows, first, size = np.unique(left, return_index=True, return_counts=True)
-    table, taken, shift = np.full(_TABLE, 1 << 61, np.int64), np.zeros(_TABLE, bool), np.zeros(int(rows.max()) + 1, np.int64)
+    table, taken, shift = np.full(_TABLE, -1, np.int64), np.zeros(_TABLE, bool), np.zeros(int(rows.max()) + 1, np.int64)
     draw = np.random.default_rng(0)
     for j in np.argsort(-size, kind="stable"):
         cells = right[first[j] : first[j] + size[j]]
@@ -68,7 +68,8 @@ def pair_table(path: str) -> tuple[str, str]:
         at = int(tries[free.argmax()])
         taken[at + cells], shift[rows[j]] = True, at
         table[at + cells] = (rows[j] << 16) | made[first[j] : first[j] + size[j]]
-    return json.dumps(shift.tolist()), json.dumps(table.tolist())
+    # a free cell is -1 and no spaces are written: the plan and its printed forms hold this text, in the driver
+    return tuple(json.dumps(x.tolist(), separators=(",", ":")) for x in (shift, table))
 
 
 def _let(value: Column, body) -> Column:
@@ -232,6 +233,8 @@ def encode(docs: DataFrame, path: str, pattern: str, known_words: int = WORDS) -
         tidy()
 
     lean(docs.sparkSession)
+    pair_table(path)
+    tidy()
     middle = docs.mapInArrow(words, "carry binary, word array<int>, long binary, numbers binary")
     middle = middle.select("carry", fold(F.col("word"), path).alias("word"), "long", "numbers")
     out = T.StructType([*(T.StructField(f.name, f.dataType) for f in schema), T.StructField("ids", T.BinaryType()), T.StructField("n_tokens", T.LongType()), T.StructField("decoded", T.BinaryType())])

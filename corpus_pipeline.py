@@ -19,6 +19,16 @@ LEAST_SCORE = 0.5
 KNOWN_WORDS = 250_000
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """docs with `row`, a number for each row: doc_id where every row has one of its own. Otherwise rows are numbered in
+    order of doc_id (null last) and then content, and written, for a number must stay the same in every later read."""
+    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    if not ids.where("doc_id is null or rows > 1").limit(1).count():
+        return docs.withColumn("row", F.col("doc_id").cast("long"))
+    ordered = docs.select(*COLUMNS).orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64("text", "lang", "source", "n_chars"))
+    return stored(ordered.withColumn("row", F.monotonically_increasing_id()))
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without a letter and those that fit no learnt language; lang becomes the identified one."""
     got = op1_langid.identify(docs, op1_langid.trained(docs))
@@ -26,18 +36,21 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of smallest doc_id of each component of five-word shingle sets with similarity 0.8 or more."""
-    got = op8_ngram_join.near_duplicates(docs, n=5, percent=80)
-    gone = got.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """Keeps one row of each component of five-word shingle sets with similarity 0.8 or more, that of smallest doc_id;
+    rows without doc_id come last. Rows that only share a doc_id stay."""
+    docs = numbered(docs)
+    got = op8_ngram_join.near_duplicates(docs.select(F.col("row").alias("doc_id"), "text"), n=5, percent=80)
+    gone = got.where("doc_id <> component_id").select(F.col("doc_id").alias("row")).distinct()
+    return docs.join(gone, "row", "left_anti").select(*COLUMNS)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts every 100-byte string that also starts earlier; a document of which nothing but space stays goes."""
-    got = op6_suffix_dedup.remove_repeats(docs, carry=["lang", "source", "n_chars", "text"])
+    rows = numbered(docs).select(F.col("row").alias("doc_id"), F.col("doc_id").alias("id"), "text", "lang", "source", "n_chars")
+    got = op6_suffix_dedup.remove_repeats(rows, carry=["id", "lang", "source", "n_chars", "text"])
     # a cut may fall inside a character; the bytes of a broken one go with it
     kept = F.when(F.size("spans") == 0, F.col("carry.text")).otherwise(F.regexp_replace(F.decode("kept", "UTF-8") if False else F.try_validate_utf8(F.make_valid_utf8(F.col("kept").cast("string"))), "�", ""))
-    got = got.select("doc_id", kept.alias("text"), "carry.lang", "carry.source", F.size("spans").alias("cut"))
+    got = got.select(F.col("carry.id").alias("doc_id"), kept.alias("text"), "carry.lang", "carry.source", F.size("spans").alias("cut"))
     got = got.where((F.col("cut") == 0) | F.col("text").rlike(WORD_SQL))
     return got.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
 
@@ -45,13 +58,14 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each pass over a document, in order of training position; the last document of a pass is cut to the
     words still due."""
-    mixed = op7_mixing.mix(docs.select("doc_id", "source", "text"))
+    docs = numbered(docs)
+    mixed = op7_mixing.mix(docs.select(F.col("row").alias("doc_id"), "source", "text")).withColumnRenamed("doc_id", "row")
     takes = F.array(F.struct(F.col("first_take").alias("take"), F.col("position").alias("at")), F.struct(F.col("second_take").alias("take"), F.col("second_position").alias("at")))
-    passes = mixed.select("doc_id", "size", F.explode(takes).alias("pass")).where("pass.take > 0").select("doc_id", "size", "pass.take", "pass.at")
+    passes = mixed.select("row", "size", F.explode(takes).alias("pass")).where("pass.take > 0").select("row", "size", "pass.take", "pass.at")
     words = F.regexp_extract_all("text", F.lit(WORD_SQL), F.lit(0))
     text = F.when(F.col("take") < F.col("size"), F.concat_ws(" ", F.slice(words, F.lit(1), F.col("take").cast("int")))).otherwise(F.col("text"))
-    rows = docs.join(passes, "doc_id").withColumn("text", text).withColumn("n_chars", F.when(F.col("take") < F.col("size"), F.length("text")).otherwise(F.col("n_chars")))
-    return rows.orderBy("at", "doc_id").select(*COLUMNS)
+    rows = docs.join(passes, "row").withColumn("text", text).withColumn("n_chars", F.when(F.col("take") < F.col("size"), F.length("text")).otherwise(F.col("n_chars")))
+    return rows.orderBy("at", "row").select(*COLUMNS)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -80,16 +80,30 @@ def containment_rescue(records: DataFrame, titles: DataFrame, corroboration: Col
     return found.withColumn("r", best).where("r = 1").select(F.col("rec").alias("doc_id"), F.col("title").alias("item_id"), F.bround("c", 3).alias("containment"))
 
 
-def substring_rescue(records: DataFrame, titles: DataFrame, least: int = 16) -> DataFrame:
-    """(doc_id, item_id): the first title whose normalised form of at least that length is a substring of the record.
-    A contained title has all but its end words whole in the record, so its longest inner word blocks the join; titles
-    of one or two words have none and are not looked for."""
-    t = titles.select(F.col("item_id").alias("title"), X.norm_title(F.col("text")).alias("nt")).where(F.length("nt") >= least)
+def substring_rescue(records: DataFrame, titles: DataFrame, least: int = 16, same_author: DataFrame | None = None) -> DataFrame:
+    """(doc_id, item_id): the first title whose normalised form of at least that length is a substring of the record; a
+    shorter one counts for the pairs (doc_id, item_id) in same_author.
+    A contained title has all but its end words whole in the record, so its longest inner word blocks the join. Of two
+    words, the longer has at least half the length: its end next to the gap, with one letter beyond, blocks. One word
+    lies in one word of the record and is blocked by its first letters."""
+    least, half = max(least, 1), max(least // 2, 1)
+    every = titles.select(F.col("item_id").alias("title"), X.norm_title(F.col("text")).alias("nt")).where("nt <> ''")
+    t = every.where(F.length("nt") >= least).withColumn("w", F.split("nt", " ")).withColumn("kind", F.least(F.size("w"), F.lit(3)))
     r = records.select(F.col("doc_id").alias("rec"), X.norm_title(F.col("text")).alias("nr"))
-    inner = t.select("title", F.split("nt", " ").alias("w")).select("title", F.when(F.size("w") > 2, F.slice("w", 2, F.size("w") - 2)).otherwise(F.array().cast("array<string>")).alias("w"))
-    keyed = inner.select("title", F.array_max(F.transform("w", lambda x: F.struct(F.length(x).alias("n"), x.alias("token"))))["token"].alias("token"))
-    blocked = keyed.where("token is not null").join(r.select("rec", F.explode(F.array_distinct(F.split("nr", " "))).alias("token")), "token").select("rec", "title")
-    hit = blocked.join(t, "title").join(r, "rec").where(F.contains("nr", F.col("nt")))
+    inner = F.array_max(F.transform(F.slice("w", 2, F.greatest(F.size("w") - 2, F.lit(0))), lambda x: F.struct(F.length(x).alias("n"), x.alias("token"))))["token"]
+    a, b = F.get("w", F.lit(0)), F.get("w", F.lit(1))
+    gap = F.when(F.length(a) >= F.length(b), F.concat_ws(" ", F.right(a, F.lit(half)), F.left(b, F.lit(1)))).otherwise(F.concat_ws(" ", F.right(a, F.lit(1)), F.left(b, F.lit(half))))
+    keyed = t.select("title", "kind", F.when(F.col("kind") == 1, F.left("nt", F.lit(least))).when(F.col("kind") == 2, gap).otherwise(inner).alias("token"))
+    windows = lambda *parts: F.array_distinct(F.concat(*[F.regexp_extract_all("nr", F.lit(f"(?=({p}))"), F.lit(1)) for p in parts]))
+    one, two = windows(f"[a-z0-9]{{{least}}}"), windows(f"[a-z0-9]{{{half}}} [a-z0-9]", f"[a-z0-9] [a-z0-9]{{{half}}}")
+    # three rows at most are broadcast; keys of kinds that no title has are not made
+    asked = r.withColumn("kind", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3)))).join(F.broadcast(t.select("kind").distinct()), "kind", "left_semi")
+    keys = asked.select("rec", "kind", F.explode(F.when(F.col("kind") == 1, one).when(F.col("kind") == 2, two).otherwise(F.array_distinct(F.split("nr", " ")))).alias("token"))
+    pairs = keyed.join(keys, ["kind", "token"]).select("rec", "title")
+    if same_author is not None:
+        short = every.where(F.length("nt") < least).select("title")
+        pairs = pairs.unionByName(same_author.select(F.col("doc_id").alias("rec"), F.col("item_id").alias("title")).join(short, "title", "left_semi"))
+    hit = pairs.distinct().join(every, "title").join(r, "rec").where(F.contains("nr", F.col("nt")))
     return hit.groupBy("rec").agg(F.min("title").alias("item_id")).select(F.col("rec").alias("doc_id"), "item_id")
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attesta.functions import text as X
+from attesta.sources import files
 
 
 def first_match(refs: DataFrame, index: DataFrame, key: str, order: str, value: str) -> DataFrame:
@@ -123,6 +124,43 @@ def title_consistent(resolved: Column, raw: Column, parsed: Column) -> Column:
     return F.when(n == 0, F.lit(False)).otherwise(((shared * 2 >= n) | (shared >= 4)) & ((new == 0) | ((new == 1) & (n > 8))))
 
 
+def shortlist(rows: DataFrame, titles: DataFrame, least: float, hits: int = 4) -> DataFrame:
+    """(rec, title) of pairs that may share k = ceil(least * n) of a title's n tokens: they share `hits` of the
+    n - k + hits rarest ones. rows (rec, token), titles (title, title_n, token)."""
+    rows = rows.join(titles.select("token").distinct(), "token", "left_semi")
+    often = rows.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    rank = F.row_number().over(Window.partitionBy("title").orderBy("df", "token"))
+    prefix = titles.join(often, "token", "left").withColumn("df", F.coalesce("df", F.lit(0))).withColumn("r", rank)
+    k = F.ceil(F.col("title_n") * F.lit(least))
+    prefix = prefix.withColumn("hits", F.least(k, F.lit(hits))).where(F.col("r") <= F.col("title_n") - k + F.col("hits"))
+    met = prefix.select("title", "hits", "token").join(rows, "token").groupBy("rec", "title").agg(F.count(F.lit(1)).alias("met"), F.max("hits").alias("hits"))
+    return met.where(F.col("met") >= F.col("hits")).select("rec", "title")
+
+
+def hits(records: DataFrame, titles: DataFrame) -> DataFrame:
+    """(doc_id, item_id, shared, n_hit, n_ref, novel) of all pairs that `best_hit` may let stand: half of the title's
+    tokens are in the record or half of the record's in the title. Only records of fewer tokens than the longest title
+    can hold less than half of a title and yet lie half in it. novel counts as `novel` does. Normalised records are written once, to be read often."""
+    spark, path = records.sparkSession, files.scratch(records.sparkSession)
+    # inline keeps Spark from writing an expression again into every later one that reads it
+    once = lambda *c: F.inline(F.array(F.struct(*c)))
+    normal = records.select("doc_id", once(X.norm_title(F.col("text")).alias("normal")))
+    normal.select("doc_id", X.tokens(F.col("normal")).alias("w"), F.replace("normal", F.lit(" "), F.lit("")).alias("packed")).write.parquet(path)
+    cited = spark.read.parquet(path)
+    items = titles.select("item_id", X.title_tokens(F.col("text")).alias("words")).withColumn("n_hit", F.size("words").cast("long"))
+    # one row is broadcast
+    brief = cited.withColumn("n", F.size("w").cast("long")).join(F.broadcast(items.agg(F.max("n_hit").alias("longest"))), F.col("n") < F.col("longest"))
+    item_rows = items.select(F.col("item_id").alias("title"), F.col("n_hit").alias("title_n"), F.explode("words").alias("token"))
+    covered = shortlist(cited.select(F.col("doc_id").alias("rec"), F.explode("w").alias("token")), item_rows, 0.5)
+    covering = shortlist(item_rows.select(F.col("title").alias("rec"), "token"), brief.select(F.col("doc_id").alias("title"), F.col("n").alias("title_n"), F.explode("w").alias("token")), 0.5)
+    pairs = covered.toDF("doc_id", "item_id").unionByName(covering.select(F.col("title").alias("doc_id"), F.col("rec").alias("item_id"))).distinct()
+    both = pairs.join(items, "item_id").join(cited, "doc_id")
+    both = both.select("*", once(F.size(F.array_intersect("words", "w")).cast("long").alias("shared"), F.size("w").cast("long").alias("n_ref")))
+    both = both.where(F.col("shared") * 2 >= F.least("n_hit", "n_ref"))
+    new = F.filter(F.array_except(X.content(F.col("words")), F.col("w")), lambda t: ~F.contains(F.col("packed"), t))
+    return both.select("doc_id", "item_id", "shared", "n_hit", "n_ref", once(F.size(new).cast("long").alias("novel")))
+
+
 def best_hit(pairs: DataFrame, rec: str, hit: str) -> DataFrame:
     """pairs (rec, hit, shared, n_hit, n_ref, novel, author_ok, year_ok) -> the hit of largest overlap that stands."""
     c = F.greatest(F.col("shared") / F.col("n_hit"), F.col("shared") / F.greatest(F.col("n_ref"), F.lit(1)))

@@ -181,10 +181,8 @@ g AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY c DESC, item_id)
 SELECT doc_id, item_id, c FROM g WHERE r = 1""")
 def resolver_best_hit(spark, d):
     docs, items = table(spark, d, "documents"), table(spark, d, "benchmark")
-    size = docs.select(F.col("doc_id").alias("rec"), F.size(X.title_tokens(F.col("text"))).alias("n_ref"))
-    p = resolve.contained(docs, items, 0.85).join(size, "rec")
-    same = F.col("rec") % 2 == F.col("title") % 2
-    p = p.select(F.col("rec").alias("doc_id"), F.col("title").alias("item_id"), "shared", F.col("n").alias("n_hit"), "n_ref", (F.col("n") - F.col("shared")).alias("novel"), same.alias("author_ok"), same.alias("year_ok"))
+    same = F.col("doc_id") % 2 == F.col("item_id") % 2
+    p = resolve.hits(docs, items).withColumn("author_ok", same).withColumn("year_ok", same)
     return resolve.best_hit(p, "doc_id", "item_id")
 
 

@@ -35,3 +35,34 @@ def test_substring_rescue_of_any_word_count(spark):
     got = resolve.substring_rescue(d, t, 16, spark.createDataFrame(same, "doc_id long, item_id long"))
     assert {x.doc_id: x.item_id for x in got.collect()} == rescued(docs, items, 16, same)
     assert rescued(docs, items, 16, same)[7] == 5
+
+
+def best(docs, items):
+    out = {}
+    for i, d in docs:
+        ref = set(norm(d).split())
+        for j, t in sorted(items):
+            hit = set(norm(t).split())
+            if not hit or not ref:
+                continue
+            shared = len(hit & ref)
+            c, ok = max(shared / len(hit), shared / len(ref)), i % 2 == j % 2
+            new = [w for w in hit - ref if len(w) >= 3 and w not in X.STOP_WORDS and w not in norm(d).replace(" ", "")]
+            if (not new or (len(new) == 1 and ok)) and (hit == ref or (c >= 0.5 and ok)) and c > out.get(i, (0, 0))[1]:
+                out[i] = (j, c)
+    return out
+
+
+def test_best_hit_of_short_titles_and_stop_words(spark, tmp_path):
+    from attesta.plans.catalogue import QUERIES
+
+    items = [(2, "Graph parsing"), (4, "Parsing trees with forests"), (6, "The semantics of verbs and of nouns in the Basque for us"), (8, "Verification of claims"), (10, "a the of"), (12, ""), (13, "Basque verbs"), (14, "Deep residual connections for image recognition"), (16, None), (18, "On a new data model for parsing in the large")]
+    docs = [(2, "Lu. Parsing, 2001"), (4, "trees with forests"), (6, "semantics verbs nouns Basque by Byron 1999 in a journal"), (8, "Verifica- tion of claims"), (10, "parsing"), (12, "Basque verbs"), (14, "Residual connections image recognition"), (15, "Deep residual connections for image recognition"), (16, None), (17, ""), (18, "graph"), (20, "nothing here at all but words of no title " + " ".join(f"w{i}" for i in range(80)) + " graph")]
+    words = "graph parsing trees the of a deep verbs nouns".split()
+    r = np.random.default_rng(8)
+    docs += [(100 + i, " ".join(r.choice(words, r.integers(1, 9)))) for i in range(60)]
+    items += [(100 + i, " ".join(r.choice(words, r.integers(1, 9)))) for i in range(30)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert {x.doc_id: (x.item_id, x.c) for x in QUERIES["resolver_best_hit"](spark, str(tmp_path)).collect()} == best(docs, items)
+    assert {2, 4, 6, 8} <= set(best(docs, items))

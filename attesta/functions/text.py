@@ -25,22 +25,31 @@ OCR_DUMP = r"\[\[\[|\], \[\[|`,\s*\d"
 
 
 def _folding() -> tuple[str, str]:
-    """Letters that decompose to one base character, with it, and combining marks, with nothing."""
+    """Characters of the basic plane that decompose to one base character, with it, and combining marks, with nothing.
+    Hangul and compatibility ideographs stay: they are no letters of a normalised title, folded or not."""
     pairs, marks = [], []
-    for code in [*range(0xA0, 0x250), *range(0x370, 0x400), *range(0x1E00, 0x1F00)]:
+    for code in [*range(0xA0, 0xAC00), *range(0xFB00, 0xFFFE)]:
+        if unicodedata.combining(chr(code)):
+            marks.append(chr(code))
+            continue
         base = "".join(c for c in unicodedata.normalize("NFKD", chr(code)) if not unicodedata.combining(c))
-        if len(base) == 1 and base != chr(code):
+        if len(base) == 1 and base != chr(code) and base.isascii():
             pairs.append((chr(code), base))
-    marks = [chr(c) for c in range(0x300, 0x370) if unicodedata.combining(chr(c))]
     return "".join(p[0] for p in pairs) + "".join(marks), "".join(p[1] for p in pairs)
 
 
 _FROM, _TO = _folding()
+#: Letters that decompose to several: Latin ligatures and the like.
+_LIGATURES = [(chr(c), unicodedata.normalize("NFKD", chr(c))) for c in (0x132, 0x133, 0x2122, *range(0xFB00, 0xFB07))]
 
 
 def fold(text: Column) -> Column:
-    """Without accents, for Latin and Greek letters; stays in the JVM. `fold_exact` covers all of Unicode."""
-    return F.translate(text, _FROM, _TO)
+    """Without accents, for all that folds to ASCII letters in the basic plane; stays in the JVM. `fold_exact` covers
+    the other planes and decompositions to several signs."""
+    out = F.translate(text, _FROM, _TO)
+    for sign, letters in _LIGATURES:
+        out = F.replace(out, F.lit(sign), F.lit(letters))
+    return out
 
 
 def fold_exact(text: Column) -> Column:
@@ -61,7 +70,7 @@ def norm_title(title: Column, folded=fold) -> Column:
 
 def tokens(normal: Column) -> Column:
     """Distinct words of a normalised text."""
-    return F.filter(F.array_distinct(F.split(normal, " ")), lambda t: t != "")
+    return F.array_remove(F.array_distinct(F.split(normal, " ")), "")
 
 
 def title_tokens(title: Column) -> Column:
@@ -183,7 +192,51 @@ def run_key(paper: Column, year: Column) -> Column:
 
 
 def run_year(key: Column) -> Column:
-    return F.nullif(F.regexp_extract(key, YEAR, 0), F.lit("")).cast("int")
+    """The first year of a run's key; a key without one is an error."""
+    found = F.nullif(F.regexp_extract(key, YEAR, 0), F.lit(""))
+    return F.when(found.isNull(), F.raise_error(F.concat(F.lit("no year in run key "), F.coalesce(key, F.lit("null")))).cast("int")).otherwise(found.cast("int"))
+
+
+def arxiv_tail(url: Column) -> Column:
+    """The last path segment of an entry's URL, without a version after a numeric id."""
+    tail = F.regexp_extract(F.regexp_replace(url, "/+$", ""), "([^/]*)$", 1)
+    head = F.substring_index(tail, "v", 1)
+    return F.when(F.contains(tail, F.lit("v")) & head.rlike(r"^[0-9.]*[0-9][0-9.]*$"), head).otherwise(tail)
+
+
+def digit_year(year: Column) -> Column:
+    """A year written in digits only; anything else is null."""
+    return F.when(year.rlike(r"^[0-9]{1,9}$"), year).cast("int")
+
+
+def first_doi(links: Column) -> Column:
+    """The first DOI among links (array<string>); null without one."""
+    return F.get(F.filter(F.transform(links, norm_doi), lambda d: d.isNotNull()), F.lit(0))
+
+
+def hit_year(hit: Column) -> Column:
+    """The year of a search hit in JSON: the first of its year fields that begins with four digits."""
+    one = lambda name: F.regexp_extract(F.get_json_object(hit, f"$.{name}"), r"^([0-9]{4})", 1)
+    return F.coalesce(*[F.nullif(one(n), F.lit("")) for n in ("year", "published_year", "pub_year")]).cast("int")
+
+
+def hit_authors(hit: Column) -> Column:
+    """The authors of a search hit in JSON, given as names or as objects with a name."""
+    each = F.from_json(F.get_json_object(hit, "$.authors"), "array<string>")
+    names = F.transform(F.coalesce(each, F.array().cast("array<string>")), lambda a: F.when(F.startswith(F.ltrim(a), F.lit("{")), F.get_json_object(a, "$.name")).otherwise(a))
+    return F.filter(names, lambda n: n.isNotNull() & (n != ""))
+
+
+def unpublished(record: Column, venue: Column, types: Column) -> Column:
+    """Whether an index record shows a preprint that no venue took; no record (null) counts as one."""
+    none = F.lower(F.trim(F.coalesce(venue, F.lit("")))).isin("", "arxiv.org", "arxiv")
+    return F.when(record.isNull(), True).otherwise(~F.coalesce(F.array_contains(types, "Conference"), F.lit(False)) & none)
+
+
+def evidence(abstract: Column, blocks: Column, most: int) -> Column:
+    """What a judge reads: the abstract, marked, and the passages, between rules, cut to most characters."""
+    lead = F.when(F.coalesce(abstract, F.lit("")) != "", F.concat(F.lit("[abstract] "), abstract))
+    return F.substring(F.concat_ws("\n---\n", lead, blocks), 1, most)
 
 
 def client_ip(forwarded: Column) -> Column:

@@ -1,14 +1,12 @@
-"""Sources and sinks: JSON lines, BibTeX, TEI, TeX archives, keyed snapshots, resumable caches."""
+"""Sources and sinks: JSON lines and reports, BibTeX, TeX archives, listings, resumable caches."""
 
 from __future__ import annotations
 
 import io
 import tarfile
-import tempfile
 import uuid
-import xml.etree.ElementTree as ET
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,10 +15,6 @@ from pyspark.sql import types as T
 
 from attesta.functions import text as X
 
-REFERENCE = "ref_id string, paper_id string, index int, raw string, title string, authors array<string>, year int, venue string, doi string, arxiv_id string, extractor string"
-CONTEXT = "paper_id string, ref_id string, marker string, sentence string, section string, ord long"
-TEI = "{http://www.tei-c.org/ns/1.0}"
-
 
 def read_jsonl(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
     """JSON lines of a known schema; blank lines do not count, a malformed one fails."""
@@ -36,8 +30,37 @@ def write_sheet(df: DataFrame, path: str, blanks: list[str]) -> None:
     df.withColumns({c: F.lit("") for c in blanks}).write.mode("overwrite").option("header", True).csv(path)
 
 
+def write_report(df: DataFrame, path: str) -> None:
+    """A one-row frame as one JSON document."""
+    df.select(F.to_json(F.struct("*")).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_report(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame | None:
+    """A JSON report, over several lines or not; None if there is none."""
+    try:
+        return spark.read.schema(schema).option("multiLine", True).json(path)
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return None
+
+
+def listed(spark: SparkSession, folder: str, pattern: str = "*.pdf", limit: int | None = None) -> DataFrame:
+    """Files of a folder in order of their paths, the first `limit` if one is given: path, name without suffix, length,
+    content."""
+    f = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+    f = f.select("path", F.regexp_extract("path", r"([^/]+?)(?:\.[^./]+)?$", 1).alias("paper_id"), "length", "content").orderBy("path")
+    return f if limit is None else f.limit(limit)
+
+
+def bib_records(spark: SparkSession, path: str) -> DataFrame:
+    """BibTeX files (gzipped or not) cut at each @ in column 0, so that large files are read by many tasks."""
+    return spark.read.option("lineSep", "\n@").text(path).where(F.col("value").rlike(r"^@?\w+\s*\{")).select(F.regexp_replace("value", "^@?", "\n@").alias("value"))
+
+
 def bib_entries(texts: DataFrame, value: str = "value") -> DataFrame:
-    """A row for each BibTeX entry of texts: from an @ in column 0 to the first line that begins with }."""
+    """A row for each BibTeX entry of texts (whole files, or `bib_records`): from an @ in column 0 to the first line
+    that begins with }."""
     parts = F.split(F.concat(F.lit("\n"), F.col(value)), "\n@")
     body = texts.select(F.explode(F.slice(parts, 2, F.size(parts))).alias("e"))
     return body.select(F.regexp_replace(F.concat(F.lit("@"), "e"), r"(?s)\n\}.*$", "\n}").alias("entry"))
@@ -66,59 +89,6 @@ def paper_number() -> Column:
     return F.regexp_extract("paper_id", r"(\d+)$", 1).cast("int")
 
 
-def _text(el) -> str:
-    return "" if el is None else " ".join("".join(el.itertext()).split())
-
-
-def tei_references(files: DataFrame) -> DataFrame:
-    """files (paper_id, tei) -> references, a row for each bibliography entry. The XML is read in Python to keep mixed
-    content in order; ids, years and fallbacks are column expressions."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for paper, tei in zip(b["paper_id"], b["tei"], strict=True):
-                for i, e in enumerate(ET.fromstring(tei).iter(f"{TEI}biblStruct")):
-                    title = lambda level, up="": _text(e.find(f".//{up}{TEI}title[@level='{level}']"))  # noqa: B023, E731
-                    ids = {(x.get("type") or "").lower(): _text(x) for x in e.iter(f"{TEI}idno")}
-                    date = e.find(f".//{TEI}imprint/{TEI}date")
-                    names = [" ".join(filter(None, map(_text, p))) for p in e.findall(f".//{TEI}author/{TEI}persName")]
-                    rows.append((paper, i, _text(e.find(f".//{TEI}note[@type='raw_reference']")), title("a"), title("m", f"{TEI}monogr/"), title("j", f"{TEI}monogr/"), [n for n in names if n], ids.get("doi", ""), ids.get("arxiv", ""), "" if date is None else date.get("when") or _text(date)))
-            yield pd.DataFrame(rows, columns=["paper_id", "index", "raw", "a", "m", "j", "authors", "doi", "arxiv", "date"])
-
-    r = files.mapInPandas(run, "paper_id string, index int, raw string, a string, m string, j string, authors array<string>, doi string, arxiv string, date string")
-    blank = lambda c: F.nullif(F.col(c), F.lit(""))
-    r = r.withColumn("arxiv_id", F.coalesce(X.arxiv_in(F.col("arxiv")), X.norm_arxiv(F.col("arxiv")), blank("arxiv"), X.arxiv_in(F.col("raw"))))
-    r = r.withColumn("title", F.coalesce(blank("a"), blank("m"))).withColumn("venue", F.coalesce(blank("j"), blank("m")))
-    return r.select(F.concat_ws("#", "paper_id", "index").alias("ref_id"), "paper_id", "index", "raw", "title", "authors", X.publication_year(F.col("date"), F.col("raw"), F.col("arxiv_id")).alias("year"), F.nullif("venue", "title").alias("venue"), F.coalesce(F.lower(blank("doi")), X.doi_in(F.col("raw"))).alias("doi"), "arxiv_id", F.lit("grobid").alias("extractor"))
-
-
-def tei_contexts(files: DataFrame, references: DataFrame) -> DataFrame:
-    """Citing sentences of files (paper_id, tei), bridged to references by bibliography fingerprint, the last reference
-    of a fingerprint winning. A sentence counts once, under its innermost division."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for paper, tei in zip(b["paper_id"], b["tei"], strict=True):
-                root, ord_, seen = ET.fromstring(tei), 0, set()
-                bib = {e.get("{http://www.w3.org/XML/1998/namespace}id"): _text(e.find(f".//{TEI}note[@type='raw_reference']")) for e in root.iter(f"{TEI}biblStruct")}
-                for div in reversed(list(root.iter(f"{TEI}div"))):
-                    for s in div.iter(f"{TEI}s"):
-                        if id(s) not in seen:
-                            seen.add(id(s))
-                            for mark in s.findall(f"{TEI}ref[@type='bibr']"):
-                                raw = bib.get((mark.get("target") or "").lstrip("#"))
-                                if raw:
-                                    rows.append((paper, raw, _text(mark), _text(s), _text(div.find(f"{TEI}head")), ord_))
-                                    ord_ += 1
-            yield pd.DataFrame(rows, columns=["paper_id", "raw", "marker", "sentence", "section", "ord"])
-
-    c = files.mapInPandas(run, "paper_id string, raw string, marker string, sentence string, section string, ord long").withColumn("fp", X.fingerprint(F.col("raw"))).drop("raw")
-    bridge = references.withColumn("fp", X.fingerprint(F.col("raw"))).groupBy("paper_id", "fp").agg(F.max_by("ref_id", "index").alias("ref_id"))
-    return c.join(bridge, ["paper_id", "fp"]).select("paper_id", "ref_id", "marker", "sentence", F.nullif("section", F.lit("")).alias("section"), "ord")
-
-
 def tex_source(content: Column) -> Column:
     """All .tex files of an e-print payload (tar, gzipped or not; or one gzipped file); empty where there is none."""
 
@@ -142,47 +112,16 @@ def tex_source(content: Column) -> Column:
     return run(content)
 
 
-def valid_pdfs(files: DataFrame, least: int = 10_000) -> DataFrame:
-    """Of a binaryFile frame, whole PDFs."""
-    return files.where((F.col("length") >= least) & (F.substring("content", 1, 4) == F.lit(b"%PDF")))
-
-
 def digests(files: DataFrame) -> DataFrame:
     return files.select("path", F.sha2("content", 256).alias("sha256"), F.md5("content").alias("md5"))
 
 
-class Snapshot:
-    """A keyed index as versioned Parquet directories behind a pointer: a build becomes current only if it is large
-    enough, and readers of the old one are not disturbed. One writer at a time."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-
-    def current(self) -> DataFrame | None:
-        try:
-            version = self.spark.read.parquet(f"{self.root}/pointer").orderBy(F.desc("seq")).first()
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            return None
-        return self.spark.read.parquet(f"{self.root}/{version['name']}")
-
-    def refresh(self, build: DataFrame, key: str, least: int = 1_000_000) -> str:
-        """'rebuilt', or 'refused' if build has under least rows."""
-        name = f"v-{uuid.uuid4().hex}"
-        build.repartition(F.col(key)).sortWithinPartitions(key).write.parquet(f"{self.root}/{name}")
-        if self.spark.read.parquet(f"{self.root}/{name}").count() < least:
-            return "refused"
-        seq = self.spark.sql("select unix_micros(current_timestamp()) as seq").withColumn("name", F.lit(name))
-        seq.write.mode("append").parquet(f"{self.root}/pointer")
-        return "rebuilt"
-
-
 class Cache:
-    """Results of a resumable stage: append-only Parquet by key. A run computes what is missing and appends it."""
+    """Results of a resumable stage: append-only Parquet by key. A run computes what is missing and appends it. answer:
+    a column that is null where the work failed; such rows are not kept, so a later run tries them again."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: str, key: str):
-        self.spark, self.path, self.schema, self.key = spark, path, schema, key
+    def __init__(self, spark: SparkSession, path: str, schema: str, key: str, answer: str | None = None):
+        self.spark, self.path, self.schema, self.key, self.answer = spark, path, schema, key, answer
 
     def rows(self) -> DataFrame:
         try:
@@ -194,14 +133,33 @@ class Cache:
 
     def run(self, inputs: DataFrame, compute: Callable[[DataFrame], DataFrame]) -> DataFrame:
         todo = inputs.join(self.rows().select(self.key), self.key, "left_anti")
-        compute(todo).write.mode("append").parquet(self.path)
+        done = compute(todo)
+        if self.answer:
+            done = done.where(F.col(self.answer).isNotNull())
+        done.write.mode("append").parquet(self.path)
         return self.rows()
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new path in the folder that all executors share, or a local one where the session names none."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{(root or tempfile.mkdtemp(prefix='attesta-')).rstrip('/')}/attesta-{uuid.uuid4().hex}"
+    """A new path in the folder that all executors share. A session must name one: a machine's own folder would hold
+    parts that other executors cannot read."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{root.rstrip('/')}/attesta-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read again."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df in at least as many partitions as there are cores; a table of more splits is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def drained(stream: DataFrame, name: str) -> DataFrame:

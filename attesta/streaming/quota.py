@@ -4,25 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
-def quota_stream(jobs: DataFrame, who: str, hours: int = 24) -> DataFrame:
-    """jobs (event_id, ts, who; a stream) -> event_id, who, before: jobs of the same client in the hours before. Each
-    client's state is its recent times only; events of a batch are taken in order of time."""
-    span = hours * 3600 * 1_000_000
+def quota_stream(jobs: DataFrame, who: str, hours: int = 24, late: int = 24) -> DataFrame:
+    """jobs (event_id, us, who; a stream) -> event_id, who, before: jobs of the same client in the hours before, among all
+    that have come. The watermark is `late` hours behind the newest event: an event less late is counted exactly at its
+    own time and does not change counts already given, a later one is dropped. A client's state is the sorted times of
+    hours + late, and goes when the watermark has passed them."""
+    span, keep = hours * 3600 * 1_000_000, (hours + late) * 3600 * 1_000_000
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        recent = list(state.get[0]) if state.exists else []
-        new = pd.concat(list(batches)).sort_values(["us", "event_id"])
-        out = []
-        times = recent + new["us"].tolist()
-        for at, event in zip(new["us"], new["event_id"], strict=True):
-            out.append((event, key[0], sum(1 for t in times if at - span < t <= at) - 1))
-        last = int(new["us"].max()) if len(new) else 0
-        state.update(([t for t in times if t > last - span],))
-        yield pd.DataFrame(out, columns=["event_id", who, "before"])
+        if state.hasTimedOut:
+            state.remove()
+            return
+        new = pd.concat(list(batches))
+        times = np.sort(np.concatenate([np.array(state.get[0] if state.exists else [], np.int64), new["us"].to_numpy(np.int64)]))
+        at = new["us"].to_numpy(np.int64)
+        before = np.searchsorted(times, at, "right") - np.searchsorted(times, at - span, "right") - 1
+        state.update((times[times > times[-1] - keep].tolist(),))
+        state.setTimeoutTimestamp(int(times[-1] + keep) // 1000)
+        yield pd.DataFrame({"event_id": new["event_id"].to_numpy(), who: key[0], "before": before})
 
-    return jobs.groupBy(who).applyInPandasWithState(step, f"event_id long, {who} long, before long", "recent array<long>", "append", GroupStateTimeout.NoTimeout)
+    timed = jobs.withColumn("_at", F.timestamp_micros("us")).withWatermark("_at", f"{late} hours")
+    return timed.groupBy(who).applyInPandasWithState(step, f"event_id long, {who} long, before long", "recent array<long>", "append", GroupStateTimeout.EventTimeTimeout)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from attesta.functions import text as X
 from attesta.operators import audit, jobs, judge, layout, resolve, retrieve
-from attesta.sources import files
+from attesta.sources import files, index, tei
 from attesta.streaming.quota import quota_stream
 
 QUERIES: dict = {}
@@ -51,7 +51,7 @@ def norm_title_docs(spark, d):
     return table(spark, d, "documents").select("doc_id", X.norm_title(F.col("text")).alias("norm"))
 
 
-@query()
+@query(f"SELECT doc_id, {NT('text')} AS norm FROM documents")
 def norm_title_exact(spark, d):
     """The same by whole Unicode tables; equal where text has no compatibility characters."""
     return table(spark, d, "documents").select("doc_id", X.norm_title(F.col("text"), X.fold_exact).alias("norm"))
@@ -118,7 +118,7 @@ def token_containment_rescue(spark, d):
     return resolve.containment_rescue(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
-@query(f"WITH d AS (SELECT doc_id, {NT('text')} AS t FROM documents), b AS (SELECT item_id, {NT('text')} AS t FROM benchmark) SELECT doc_id, min(item_id) AS item_id FROM d JOIN b ON contains(d.t, b.t) WHERE length(b.t) >= 16 AND len(string_split(b.t, ' ')) > 2 GROUP BY doc_id")
+@query(f"WITH d AS (SELECT doc_id, {NT('text')} AS t FROM documents), b AS (SELECT item_id, {NT('text')} AS t FROM benchmark) SELECT doc_id, min(item_id) AS item_id FROM d JOIN b ON contains(d.t, b.t) WHERE length(b.t) >= 16 GROUP BY doc_id")
 def substring_rescue(spark, d):
     return resolve.substring_rescue(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
@@ -130,14 +130,14 @@ def exact_key_first_match(spark, d):
     return resolve.first_match(refs, index, "o_orderkey", "l_linenumber", "l_partkey").select("o_orderkey", "l_partkey")
 
 
-@query("""WITH p AS (SELECT o_orderkey, l_linenumber AS ln, CASE WHEN l_returnflag <> 'N' THEN l_linestatus = 'O' END AS au, abs(year(o_orderdate) - year(l_shipdate)) <= 0 AS y
+@query("""WITH p AS (SELECT o_orderkey, l_linenumber AS ln, CASE WHEN l_returnflag <> 'N' THEN l_linestatus = 'O' END AS au, abs(year(o_orderdate) - year(l_shipdate) - l_linenumber % 3) <= 1 AS y
 FROM orders JOIN lineitem ON l_orderkey = o_orderkey),
 g AS (SELECT o_orderkey, min(ln) FILTER (coalesce(au, false) OR coalesce(y, false)) AS e, max(ln) FILTER (NOT coalesce(y, true) AND au IS NULL) AS m FROM p GROUP BY o_orderkey)
 SELECT o_orderkey, CASE WHEN e IS NOT NULL THEN 'exists' WHEN m IS NOT NULL THEN 'minor_mismatch' END AS verdict, coalesce(e, m) AS matched FROM g""")
 def corroborated_verdict(spark, d):
-    """Stand-in with years doubled, so that the tolerance of one year of `year_ok` means the same year here."""
+    """Stand-in: years up to a year apart agree; every third line is two years off."""
     p = table(spark, d, "orders").join(table(spark, d, "lineitem"), F.col("l_orderkey") == F.col("o_orderkey"))
-    p = p.select("o_orderkey", "l_linenumber", F.when(F.col("l_returnflag") != "N", F.col("l_linestatus") == "O").alias("author_overlap"), (2 * F.year("o_orderdate")).alias("ref_year"), (2 * F.year("l_shipdate")).alias("rec_year"))
+    p = p.select("o_orderkey", "l_linenumber", F.when(F.col("l_returnflag") != "N", F.col("l_linestatus") == "O").alias("author_overlap"), F.year("o_orderdate").alias("ref_year"), (F.year("l_shipdate") + F.col("l_linenumber") % 3).alias("rec_year"))
     return resolve.corroborated(p, "o_orderkey", "l_linenumber")
 
 
@@ -176,8 +176,9 @@ def title_consistency_guard(spark, d):
     return v.select("id", resolve.title_consistent(F.col("resolved"), F.col("raw"), F.col("parsed")).alias("consistent"))
 
 
-@query(f"""WITH {PAIRS}, s AS (SELECT *, greatest(shared / n, shared / greatest(m, 1)) AS c, doc_id % 2 = item_id % 2 AS au FROM p WHERE n > 0 AND shared >= 0.85 * n),
-g AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY c DESC, item_id) AS r FROM s WHERE (n = shared OR (n - shared = 1 AND au)) AND ((shared = n AND shared = m) OR (c >= 0.7 AND au) OR (c >= 0.5 AND au)))
+@query(f"""WITH {PAIRS}, s AS (SELECT *, greatest(shared / n, shared / greatest(m, 1)) AS c, doc_id % 2 = item_id % 2 AS au FROM p WHERE n > 0),
+f AS (SELECT s.*, len(list_filter({CONTENT(TOK('i.text'))}, lambda x: NOT list_contains({TOK('t.text')}, x) AND NOT contains(replace({NT('t.text')}, ' ', ''), x))) AS new FROM s JOIN documents t USING (doc_id) JOIN benchmark i USING (item_id) WHERE s.c >= 0.5),
+g AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY c DESC, item_id) AS r FROM f WHERE (new = 0 OR (new = 1 AND au)) AND ((shared = n AND shared = m) OR (c >= 0.5 AND au)))
 SELECT doc_id, item_id, c FROM g WHERE r = 1""")
 def resolver_best_hit(spark, d):
     docs, items = table(spark, d, "documents"), table(spark, d, "benchmark")
@@ -217,15 +218,15 @@ s AS (SELECT item_id, {keys}, round(sum(times * idf * tf * 2.5 / (tf + 1.5 * (1
 
 @query(f"WITH b AS (SELECT doc_id, text AS body FROM documents), {BM25('b', 'doc_id')} SELECT item_id, doc_id, score, hit_rank FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS hit_rank FROM s) WHERE hit_rank <= 8")
 def candidate_top8(spark, d):
-    s = retrieve.bm25(table(spark, d, "documents"), table(spark, d, "benchmark"), ["doc_id"], "item_id", "text", "text")
-    return retrieve.top(s, "item_id", ["doc_id"], 8).select("item_id", "doc_id", "score", "hit_rank")
+    s = retrieve.best(files.spread(table(spark, d, "documents").select("doc_id", "text")), table(spark, d, "benchmark"), ["doc_id"], "item_id", "text", "text", 8)
+    return s.select("item_id", "doc_id", "score", "hit_rank")
 
 
 @query(f"WITH {CHUNKS}, b AS (SELECT doc_id, idx, passage AS body FROM c), {BM25('b', 'doc_id, idx')} SELECT item_id, doc_id, idx, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, idx) AS r FROM s) WHERE r <= 4")
 def bm25_top_passages(spark, d):
-    c = retrieve.chunks(table(spark, d, "documents"))
-    s = retrieve.bm25(c, table(spark, d, "benchmark"), ["doc_id", "idx"], "item_id", "passage", "text")
-    return retrieve.top(s, "item_id", ["doc_id", "idx"], 4).select("item_id", "doc_id", "idx", "score")
+    c = retrieve.chunks(files.spread(table(spark, d, "documents").select("doc_id", "text")))
+    s = retrieve.best(c, table(spark, d, "benchmark"), ["doc_id", "idx"], "item_id", "passage", "text", 4)
+    return s.select("item_id", "doc_id", "idx", "score")
 
 
 # --- audit
@@ -347,13 +348,18 @@ def two_stage_precision(spark, d):
     return f.agg(n.alias("arbitrated"), F.count_if(F.col("toxic") == 1).alias("confirmed"), F.count_if(F.col("toxic") == 0).alias("refuted"), (F.count_if(F.col("toxic") == 1) / F.greatest(n, F.lit(1))).alias("precision"))
 
 
-@query()
+WORDS_OF = "list_distinct(list_filter(regexp_split_to_array(lower({}), '\\s+'), lambda t: t <> ''))"
+
+
+@query(f"""WITH {PAIRS}, a AS (SELECT doc_id, item_id, row_number() OVER (PARTITION BY doc_id ORDER BY shared DESC, item_id DESC) AS r FROM p WHERE n > 0 AND shared >= n * 0.5),
+j AS (SELECT doc_id::VARCHAR AS ref_id, lang = 'en' AS same, len(list_intersect({WORDS_OF.format('i.text')}, {WORDS_OF.format('t.text')})) / len({WORDS_OF.format('i.text')}) AS share FROM a JOIN documents t USING (doc_id) JOIN benchmark i USING (item_id) WHERE r = 1)
+SELECT ref_id, CASE WHEN same AND share < 0.3 THEN 'confirmed' ELSE 'refuted' END AS flag, CASE WHEN coalesce(NOT same, true) THEN 'wrong_paper' WHEN share < 0.3 THEN 'misattribution' ELSE 'judge_error' END AS error_class FROM j""")
 def judged_support(spark, d):
-    """Arbitration of flagged documents by the offline judge against the best benchmark item's text."""
+    """Arbitration of documents by the offline judge against the best benchmark item's text."""
     docs, items = table(spark, d, "documents"), table(spark, d, "benchmark")
     m = resolve.contained(docs, items, 0.5).groupBy("rec").agg(F.max_by("title", F.struct("shared", "title")).alias("title"))
     f = docs.join(m.withColumnRenamed("rec", "doc_id"), "doc_id").join(items.select(F.col("item_id").alias("title"), F.col("text").alias("claim")), "title")
-    return judge.arbitrated(f.select(F.col("doc_id").cast("string").alias("ref_id"), (F.col("lang") == "en").alias("same_paper"), "claim", F.col("text").alias("passages")), judge.overlap_judge, "offline-overlap-1")
+    return judge.arbitrated(f.select(F.col("doc_id").cast("string").alias("ref_id"), (F.col("lang") == "en").alias("same_paper"), "claim", F.col("text").alias("passages")), judge.overlap_judge, "offline-overlap-1").select("ref_id", "flag", "error_class")
 
 
 # --- layout
@@ -368,7 +374,7 @@ def column_margin(spark, d):
 WORDS = [("p", 1, 0, x, t, 10.0, w) for x, t, w in ((10.0, 0.0, "The"), (30.0, 1.5, "first"), (12.0, 3.0, "next"), (40.0, 4.9, "row"), (10.0, 5.1, "then"), (10.0, 20.0, "Last"), (25.0, 20.4, "one"))]
 
 
-@query()
+@query("SELECT * FROM (VALUES ('p', 1, 0, 1, 10.0, 10.0, 'The first'), ('p', 1, 0, 2, 12.0, 10.0, 'next row'), ('p', 1, 0, 3, 10.0, 10.0, 'then'), ('p', 1, 0, 4, 10.0, 10.0, 'Last one')) AS t(paper_id, page, col, line, x0, size, text)")
 def line_grouping(spark, d):
     return layout.lines(spark.createDataFrame(WORDS, "paper_id string, page int, col int, x0 double, top double, size double, text string"))
 
@@ -385,7 +391,7 @@ c AS (SELECT i.*, min(idx) FILTER (idx > 5 AND size > body + 0.4 AND length(text
 k AS (SELECT * FROM c WHERE cut IS NULL OR idx < cut),
 m AS (SELECT paper_id, col, coalesce(min(spot) FILTER (n >= 2), min(least)) AS margin FROM (SELECT paper_id, col, round_even(x0 * 2, 0) / 2 AS spot, count(*) AS n, min(x0) AS least FROM k GROUP BY ALL) GROUP BY 1, 2),
 r AS (SELECT paper_id, count_if(abs(x0 - margin) <= 2.5 AND length(text) >= 3 AND regexp_matches(text, '^\\s*\\p{{Lu}}')) AS n, count(*) AS block FROM k JOIN m USING (paper_id, col) GROUP BY 1)
-SELECT paper_id, CASE WHEN coalesce(block >= 3, false) THEN n ELSE 0 END::BIGINT AS layout_count, coalesce(block >= 3, false) AS ok FROM (SELECT DISTINCT paper_id FROM v) LEFT JOIN r USING (paper_id)""")
+SELECT paper_id, CASE WHEN coalesce(block >= 3, false) THEN n ELSE 0 END::BIGINT AS layout_count, coalesce(block >= 3, false) AS ok, CASE WHEN paper_id = 'b' THEN 'no References heading found' ELSE '' END AS note FROM (SELECT DISTINCT paper_id FROM v) LEFT JOIN r USING (paper_id)""")
 def reference_block_count(spark, d):
     return layout.entries(spark.createDataFrame(BLOCK, "paper_id string, line_no int, col int, x0 double, size double, text string"))
 
@@ -437,27 +443,29 @@ def stream_vs_batch_quota(spark, d):
 BIB = '@inproceedings{a-2026,\n  title = "{D}eep {P}arsing",\n  author = "Lu, Pan and Ada Byron",\n  year = "2026",\n  url = "https://example.org/2026.conf-long.2/",\n  title = "Deep {P}arsing Again",\n}\nnoise\n@proceedings{f,\n  title = "Front",\n  year = "2026",\n  url = "https://example.org/2026.conf-long.0",\n}\n@article{o,\n  title = "Old",\n  year = "2018",\n  url = "https://example.org/P18-1001",\n}'
 
 
-@query()
+@query("SELECT * FROM (VALUES ('2026.conf-long.2', 'Deep Parsing Again', 'Pan Lu|Ada Byron', 2026, 'a-2026', '2026.conf-long'), ('P18-1001', 'Old', '', 2018, 'o', 'P18-1')) AS t(paper_id, title, authors, year, bibkey, volume)")
 def bib_entries(spark, d):
     p = files.papers(files.bib_entries(spark.createDataFrame([(BIB,)], "value string")), "conf", ["2026.conf-long", "P18-1"])
-    return p.orderBy("volume", files.paper_number())
+    p = p.orderBy("volume", files.paper_number())
+    return p.select("paper_id", "title", F.concat_ws("|", "authors").alias("authors"), "year", "bibkey", "volume")
 
 
 TEI_DOC = '<TEI xmlns="http://www.tei-c.org/ns/1.0"><text><body><div><head>Intro</head><p><s>As shown before <ref type="bibr" target="#b0">[1]</ref>.</s></p></div></body><back><listBibl><biblStruct xml:id="b0"><analytic><title level="a">Green <hi>AI</hi></title><author><persName><forename>Roy</forename><surname>Lee</surname></persName></author></analytic><monogr><title level="j">CoRR</title><imprint><date when="1907"/></imprint></monogr><note type="raw_reference">Roy Lee. Green AI. CoRR, abs/1907.10597, 2019.</note></biblStruct></listBibl></back></text></TEI>'
 
 
-@query()
+@query("SELECT 'p#0' AS ref_id, 'Green AI' AS title, 'Roy Lee' AS authors, 2019 AS year, 'CoRR' AS venue, '1907.10597' AS arxiv_id")
 def tei_references(spark, d):
-    return files.tei_references(spark.createDataFrame([("p", TEI_DOC)], "paper_id string, tei string"))
+    r = tei.tei_references(spark.createDataFrame([("p", TEI_DOC)], "paper_id string, tei string"))
+    return r.select("ref_id", "title", F.concat_ws("|", "authors").alias("authors"), "year", "venue", "arxiv_id")
 
 
-@query()
+@query("SELECT 'p' AS paper_id, 'p#0' AS ref_id, '[1]' AS marker, 'As shown before [1].' AS sentence, 'Intro' AS section, 0::BIGINT AS ord")
 def tei_contexts(spark, d):
     f = spark.createDataFrame([("p", TEI_DOC)], "paper_id string, tei string")
-    return files.tei_contexts(f, files.tei_references(f))
+    return tei.tei_contexts(f, tei.tei_references(f))
 
 
-@query()
+@query("SELECT 1 AS id, 'A bold move at 5% cost ' || chr(10) || chr(10) || 'End x' AS text")
 def tex_clean(spark, d):
     t = spark.createDataFrame([(1, "A \\textbf{bold \\emph{move}} at 5\\% cost % note\n\n\n\nEnd \\cite{x}\\bibliography{refs}")], "id int, tex string")
     return t.select("id", X.clean_tex(F.col("tex")).alias("text"))
@@ -488,7 +496,7 @@ def resume_cache_idempotent(spark, d):
 
 @query("SELECT item_id, text FROM benchmark")
 def snapshot_swap(spark, d):
-    s = files.Snapshot(spark, files.scratch(spark))
+    s = index.Snapshot(spark, files.scratch(spark))
     s.refresh(table(spark, d, "benchmark"), "item_id", least=1)
     s.refresh(table(spark, d, "benchmark").limit(0), "item_id", least=1)  # too small, refused
     return s.current()

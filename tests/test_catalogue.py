@@ -7,6 +7,7 @@ import os
 import duckdb
 import pytest
 
+from attesta.plans import audit_case  # noqa: F401
 from attesta.plans.catalogue import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"

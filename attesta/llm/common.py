@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import ctypes
 import re
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -100,11 +99,11 @@ def partitions(spark: SparkSession) -> int:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new path in the folder that all executors share; a local one only where the session names none."""
+    """A new path in the folder that all executors share. A session must name one: other machines cannot read a
+    driver's own folder."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="attesta-")
-        spark.sparkContext.setCheckpointDir(root)
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/attesta-{uuid.uuid4().hex}"
 
 

@@ -3,6 +3,7 @@
 Fitting: in a bounded sample of labelled documents (at most `per_language` of each language, chosen by hash of
 doc_id), count the n-grams of whole texts and keep each language's `keep` most frequent ones of each length. Every kept
 n-gram sets its language's bit in `probes` slots of one array, so that slot i holds bit i of every language's filter.
+A slot has as many 64-bit words as the languages need.
 
 Predicting: the bitwise AND of an n-gram's slots is the set of languages that hold it. The bits are counted for each
 language over the whole text and corrected for false positives: of n n-grams, c = true + (n - true) * f, where f is the
@@ -10,7 +11,8 @@ share of set slots to the power of `probes`. The language with the largest corre
 
 Defined cases: null texts and texts without a letter are `und` with score 0; ties go to the language with more
 labelled documents in the sample, then by code point; if nothing is labelled every text is `und`; texts of any length
-are counted in pieces; rows are judged one by one, so repeated rows agree; extra columns are not read.
+are counted in pieces; rows are judged one by one, so repeated rows agree; rows that share a doc_id count once in the
+sample, by their smallest text; extra columns are not read, and one named like an output gives way to it.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from attesta.llm.common import U64, lean, mix, tidy
+from attesta.llm.common import U64, lean, mix, stored, tidy
 
 LENGTHS = (2, 3, 4)
 PIECE = 1 << 18  # characters handled at once
@@ -95,11 +97,13 @@ class Filters:
     fill: np.ndarray
     probes: int
 
-    def masks(self, h: np.ndarray) -> np.ndarray:
-        size = U64(len(self.slots) - 1)
-        out = self.slots[(h & size).astype(np.int64)]
+    def masks(self, h: np.ndarray, word: int = 0) -> np.ndarray:
+        """For each n-gram, the languages 64 * word and on whose filters hold it, a bit each."""
+        slots = self.slots[word]
+        size = U64(len(slots) - 1)
+        out = slots[(h & size).astype(np.int64)]
         for j in range(1, self.probes):
-            out = out & self.slots[((h >> U64(20 * j)) & size).astype(np.int64)]
+            out = out & slots[((h >> U64(20 * j)) & size).astype(np.int64)]
         return out
 
     def predict(self, texts: list) -> tuple[list[str], list[float]]:
@@ -111,11 +115,12 @@ class Filters:
                 real = h != 0
                 first = edge[:-1]
                 first = np.minimum(first, max(0, len(h) - 1))
-                mask = self.masks(h)
-                mask[~real] = 0
                 np.add.at(total, owner, np.add.reduceat(real, first, dtype=np.int64))
-                for j in range(k):
-                    np.add.at(count[:, j], owner, np.add.reduceat((mask >> U64(j)) & U64(1), first, dtype=np.int64))
+                for word in range(len(self.slots)):
+                    mask = self.masks(h, word)
+                    mask[~real] = 0
+                    for j in range(64 * word, min(k, 64 * word + 64)):
+                        np.add.at(count[:, j], owner, np.add.reduceat((mask >> U64(j % 64)) & U64(1), first, dtype=np.int64))
         false = self.fill**self.probes
         share = np.clip((count - total[:, None] * false) / (np.maximum(total, 1)[:, None] * (1 - false)), 0, 1)
         best = share.argmax(axis=1) if k else np.zeros(n, int)
@@ -124,13 +129,15 @@ class Filters:
 
 
 def fit(labelled: DataFrame, per_language: int = 600, keep: int = 2500, slot_bits: int = 18, probes: int = 3) -> Filters:
-    """labelled: doc_id, text, lang without nulls in lang. Up to 63 languages; the sample and the filters are bounded
-    by the parameters, whatever the table's size."""
-    ids = labelled.select("doc_id", "lang").withColumn("h", F.xxhash64("doc_id", F.lit(1)))
+    """labelled: doc_id, text, lang without nulls in lang. The sample and the filters are bounded by the parameters for
+    each language, whatever the table's size."""
+    # a hash threshold for each language leaves little more than its sample, so no task gathers a language
+    counts = labelled.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("ids"))
+    ids = labelled.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 40)).alias("h")).join(counts, "lang")
+    few = ids.where(F.col("h") < F.lit(float(1 << 40)) * 2 * (per_language + 100) / F.col("ids")).select("lang", "h", "doc_id").distinct()
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
-    chosen = ids.withColumn("r", rank).where(F.col("r") <= per_language).select("doc_id").distinct()
-    # at most per_language ids a language: small by construction
-    sample = labelled.join(F.broadcast(chosen), "doc_id", "left_semi").select("lang", "text")
+    chosen = few.withColumn("r", rank).where(F.col("r") <= per_language).select("doc_id", "lang")
+    sample = stored(labelled.join(chosen, ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text")).select("lang", "text"))
 
     def counted(batches):
         for b in batches:
@@ -153,19 +160,20 @@ def fit(labelled: DataFrame, per_language: int = 600, keep: int = 2500, slot_bit
     best = F.row_number().over(Window.partitionBy("lang", "n").orderBy(F.desc("c"), "gram"))
     table = grams_of.withColumn("r", best).where(F.col("r") <= keep).select("lang", "gram").toArrow()
     weight = {r[0]: r[1] for r in sample.groupBy("lang").count().collect()}
-    languages = sorted(weight, key=lambda x: (-weight[x], x))[:63]
-    slots, fill = np.zeros(1 << slot_bits, U64), []
+    languages = sorted(weight, key=lambda x: (-weight[x], x))
+    slots, fill = np.zeros((-(-len(languages) // 64), 1 << slot_bits), U64), []
     names, hashes = np.array(table.column("lang").to_pylist(), object), table.column("gram").to_numpy().view(U64)
     for bit, lang in enumerate(languages):
-        h = hashes[names == lang]
+        h, word = hashes[names == lang], slots[bit // 64]
         for j in range(probes):
-            slots[((h >> U64(20 * j)) & U64((1 << slot_bits) - 1)).astype(np.int64)] |= U64(1 << bit)
-        fill.append(float(((slots >> U64(bit)) & U64(1)).mean()))
+            word[((h >> U64(20 * j)) & U64((1 << slot_bits) - 1)).astype(np.int64)] |= U64(1 << bit % 64)
+        fill.append(float(((word >> U64(bit % 64)) & U64(1)).mean()))
     return Filters(languages, slots, np.array(fill), probes)
 
 
 def identify(docs: DataFrame, filters: Filters) -> DataFrame:
-    """docs with any columns -> the same and lang_pred, score."""
+    """docs with any columns -> the same and lang_pred, score; columns of these names give way."""
+    docs = docs.drop("lang_pred", "score")
     schema = docs.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
     for f in schema:
         f.nullable = True

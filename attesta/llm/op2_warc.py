@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 SPACE_URL = uuid.uuid5(uuid.NAMESPACE_URL, "urn:attesta:warc")
-HIDDEN = re.compile(r"<!--.*?-->|<(script|style|head|noscript|template)\b[^>]*>.*?</\1\s*>", re.S | re.I)
+HIDDEN = re.compile(r"<!--|<(script|style|head|noscript|template)\b[^>]*>", re.I)
 BREAK = re.compile(r"<(?:/?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|section|article|nav|footer|header|blockquote|pre|hr)|!doctype)\b[^>]*>", re.I)
 TAG = re.compile(r"<[^<>]*>")
 BLANKS = re.compile(r"[ \t\r\f\v]+")
@@ -51,9 +51,25 @@ def response(page_id: int | None, url: str | None, html: str | None) -> tuple[st
     return name, [("Content-Type", "text/html; charset=utf-8"), ("Content-Length", str(len(payload)))], payload
 
 
+def visible(html: str) -> str:
+    """html with a space for each comment and hidden element; one that never ends hides nothing. Each kind's end is
+    looked for in vain once, so the work is linear."""
+    out, at, look, endless = [], 0, 0, set()
+    while m := HIDDEN.search(html, look):
+        name = (m[1] or "").lower()
+        end = None if name in endless else re.compile(rf"</{name}\s*>" if name else "-->", re.I).search(html, m.end())
+        if end is None:
+            endless.add(name)
+            look = m.start() + 1
+            continue
+        out += [html[at : m.start()], " "]
+        at = look = end.end()
+    return "".join([*out, html[at:]])
+
+
 def plain_text(html: str) -> str:
     """Visible text: hidden elements, comments and tags go, block elements end lines, references are resolved."""
-    text = HIDDEN.sub(" ", html)
+    text = visible(html)
     text = TAG.sub("", BREAK.sub("\n", text.replace("\n", " ")))
     text = entities.unescape(text) if "&" in text else text
     return LINES.sub("\n", BLANKS.sub(" ", text)).strip()
@@ -88,7 +104,7 @@ def derivatives(pages: DataFrame) -> DataFrame:
                         rows.append((page_id, kind, own, name, other, url, digest(raw), source, len(raw), block))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _OUT, strict=True)], schema=_OUT)
 
-    return pages.select("page_id", "url", "html").mapInArrow(run, OUT)
+    return pages.select(pages["page_id"].cast("long").alias("page_id"), "url", "html").mapInArrow(run, OUT)
 
 
 def serialised(row: dict, date: str = "1970-01-01T00:00:00Z") -> bytes:
@@ -96,7 +112,8 @@ def serialised(row: dict, date: str = "1970-01-01T00:00:00Z") -> bytes:
     block = row["block"].encode()
     kind = {"metadata": "application/warc-fields", "conversion": "text/plain; charset=utf-8"}[row["kind"]]
     head = [("WARC-Type", row["kind"]), ("WARC-Record-ID", row["record_id"]), ("WARC-Date", date), ("WARC-Refers-To", row["refers_to"]), ("WARC-Concurrent-To", row["concurrent_to"])]
-    head += [("WARC-Target-URI", row["target_uri"])] if row["target_uri"] else []
+    # a URL with blanks or line breaks would end its header
+    head += [("WARC-Target-URI", re.sub(r"\s", lambda m: f"%{ord(m[0]):02X}", row["target_uri"]))] if row["target_uri"] else []
     head += [("WARC-Block-Digest", row["block_digest"]), ("Content-Type", kind), ("Content-Length", str(len(block)))]
     return b"WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head).encode() + b"\r\n" + block + b"\r\n\r\n"
 
@@ -127,5 +144,29 @@ def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at = end + 4 + size + 4
 
 
+def from_records(files: DataFrame) -> DataFrame:
+    """files (path, content: WARC bytes, gzipped or plain) -> the two derivatives of each response record in them, which
+    keep its id and date as they are; its HTTP headers become fields of the metadata. Other records have none."""
+
+    def run(batches):
+        for b in batches:
+            for content in b.column("content").to_pylist():
+                rows = []
+                for head, block in parse(content or b""):
+                    if head.get("WARC-Type") != "response":
+                        continue
+                    top, _, payload = block.partition(b"\r\n\r\n")
+                    status, *lines = top.decode("latin-1").split("\r\n")
+                    fields = [("status", status), *(line.split(":", 1) for line in lines if ":" in line)]
+                    fields = [(k.strip(), v.strip()) for k, v in fields]
+                    url, name = head.get("WARC-Target-URI"), head["WARC-Record-ID"]
+                    for kind, own, other, text, source in derive(name, url, fields, payload):
+                        raw = text.encode()
+                        rows.append((None, kind, own, name, other, url, digest(raw), source, len(raw), text))
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(list(zip(*rows, strict=True)) or [()] * len(_OUT), _OUT, strict=True)], schema=_OUT)
+
+    return files.select("content").mapInArrow(run, OUT)
+
+
 def op2_warc(spark, sf_dir: str) -> DataFrame:
     return derivatives(spark.read.parquet(f"{sf_dir}/pages.parquet"))

@@ -10,13 +10,13 @@ lookup is two array reads. The last step joins word ids to documents and joins t
 Words longer than `LONG` bytes would make the fold quadratic; they take a heap-based merge with the same result.
 
 Defined cases: a null or empty text has no ids; no special tokens; texts of any length; the dictionary of a task starts
-anew after `WORDS` words, which bounds memory; repeated rows are encoded alike; other columns ride along unread.
+anew after `WORDS` words, which bounds memory; repeated rows are encoded alike; other columns ride along unread, and one
+named like an output gives way to it.
 """
 
 from __future__ import annotations
 
 import base64
-import hashlib
 import heapq
 import json
 from functools import cache
@@ -141,7 +141,9 @@ _MIDDLE = pa.schema([("carry", pa.binary()), ("word", pa.list_(pa.int32())), ("l
 
 def encode(docs: DataFrame, path: str, pattern: str, known_words: int = WORDS) -> DataFrame:
     """docs (any columns, text among them) -> the same columns with ids (binary: little-endian unsigned 32-bit),
-    n_tokens and decoded (binary). known_words: the size at which a task's dictionary starts anew."""
+    n_tokens and decoded (binary); columns of these names give way. known_words: the size at which a task's dictionary
+    starts anew."""
+    docs = docs.drop("ids", "n_tokens", "decoded")
     schema = docs.schema
     text_at = schema.names.index("text")
 
@@ -262,7 +264,3 @@ def op3_bpe(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     got = encode(fewer_tasks(docs), *public())
     return got.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
-
-
-def digest(ids: list[int]) -> str:
-    return hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()

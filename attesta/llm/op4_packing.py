@@ -6,7 +6,7 @@ open row whose room is the least that fits; a segment tree over room sizes finds
 the ids matrix row, cumulative segment lengths and position ids that start anew with each segment.
 
 Defined cases: null and empty texts have no ids and appear in no row; repeated rows are packed each; a text of any
-length; ties in length by doc_id and part; a row's name is its first piece, which is in one row only; extra columns are
+length; ties in length by doc_id and part; a row's name is its first piece, so names are unique where doc_id is; extra columns are
 not read; an empty table gives an empty result.
 """
 
@@ -128,7 +128,7 @@ def packed(docs: DataFrame, path: str, pattern: str, capacity: int = CAPACITY) -
                     yield from flush()
         yield from flush()
 
-    return docs.select("doc_id", "text").mapInArrow(run, OUT)
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(run, OUT)
 
 
 def matrix(rows: list[bytes], capacity: int = CAPACITY, pad: int = 0) -> np.ndarray:

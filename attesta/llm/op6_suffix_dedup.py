@@ -32,7 +32,8 @@ def tokens(raw: bytes) -> np.ndarray:
 
 def remove_repeats(docs: DataFrame, carry: list[str] | None = None, width: int = 100, gram: int = GRAM) -> DataFrame:
     """doc_id, carry (struct of the named columns, if any), n_bytes, spans (array of start and end of each maximal
-    removed run) and kept (binary: the remaining bytes) of each row of docs (doc_id, text)."""
+    removed run), kept (binary: the remaining bytes) and kept_text (string: the same without the bytes of characters that
+    a cut has broken; signs of the text itself stay) of each row of docs (doc_id, text)."""
     base = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in carry or ["doc_id"]]).alias("carry"))
     pairs = base.select("doc_id", "text")
     points = repeats.split_points(pairs, tokens, width, gram, 3 * partitions(docs.sparkSession))
@@ -44,7 +45,7 @@ def remove_repeats(docs: DataFrame, carry: list[str] | None = None, width: int =
     def finish(batches):
         for b in batches:
             edge, start, count = repeats.cut_columns(b)
-            n, spans, kept = [], [], []
+            n, spans, kept, clean = [], [], [], []
             data = b.column("text").cast(pa.large_binary())
             for i, raw in enumerate(data):
                 raw = raw.as_buffer().to_pybytes() if raw.is_valid else b""
@@ -53,12 +54,14 @@ def remove_repeats(docs: DataFrame, carry: list[str] | None = None, width: int =
                 s, e = s[s < e], e[s < e]
                 n.append(len(raw))
                 spans.append([{"start": x, "end": y} for x, y in zip(s.tolist(), e.tolist(), strict=True)])
-                kept.append(b"".join(raw[x:y] for x, y in zip([0, *e.tolist()], [*s.tolist(), len(raw)], strict=True)))
+                pieces = [raw[x:y] for x, y in zip([0, *e.tolist()], [*s.tolist(), len(raw)], strict=True)]
+                kept.append(b"".join(pieces))
+                clean.append("".join(x.decode("utf-8", "ignore") for x in pieces))
             span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("carry"), pa.array(n, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary())], names=["doc_id", "carry", "n_bytes", "spans", "kept"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("carry"), pa.array(n, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary()), pa.array(clean, pa.string())], names=["doc_id", "carry", "n_bytes", "spans", "kept", "kept_text"])
         tidy()
 
-    out = T.StructType([base.schema["doc_id"], base.schema["carry"], T.StructField("n_bytes", T.LongType()), T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))), T.StructField("kept", T.BinaryType())])
+    out = T.StructType([base.schema["doc_id"], base.schema["carry"], T.StructField("n_bytes", T.LongType()), T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))), T.StructField("kept", T.BinaryType()), T.StructField("kept_text", T.StringType())])
     return joined.mapInArrow(finish, out)
 
 

@@ -5,11 +5,13 @@
    which two sets of the asked similarity must share one. The order goes by a counting sketch of all shingles, rare
    ones first; any order is exact, this one keeps lists short.
 2. Under each token, classes are points: shingles are hashed into 16 groups and the group counts are coordinates. An
-   R-tree (packed by size and coordinates) joins them: summed minima of coordinates, of boxes first and of points
-   then, bound the overlap. Pairs that may reach the similarity are only united, so a list of m classes yields under
+   R-tree (packed by size and coordinates, `LEAF` points a leaf, `FAN` children an inner node) is joined with itself
+   from the root down: summed minima of coordinates, of boxes first and of points then, bound the overlap. Pairs that may reach the similarity are only united, so a list of m classes yields under
    m edges. All pairs that can be similar lie in one cluster of these edges.
 3. Clusters fetch their sets and verify pairs exactly, again behind the point bound, and skip pairs already connected.
    Clusters over `BLOCK` classes are verified in pairs of blocks, each a task of its own.
+4. Rows of one class point at the smallest id of the class in their own batch; one row for each batch and class, and not
+   each member, goes on to the class, so that a class of a third of all rows gathers nowhere.
 
 Defined cases: texts with fewer words than n are one shingle of all words; without words, or null, the set is empty and
 linked with nothing; repeated rows and equal texts are one class; rows without doc_id are left out; rows that share a
@@ -26,8 +28,8 @@ from pyspark.sql import functions as F
 from attesta.llm.common import U64, Union, batches_of, by_bucket, components, mix, pack, partitions, stored, tidy, unpack, word_hashes
 from attesta.llm.repeats import texts
 
-GROUPS, LEAF, BLOCK, SLOTS = 16, 64, 4096, 25
-TOKENS, MEMBERS = 0, 1
+GROUPS, LEAF, FAN, BLOCK, SLOTS = 16, 64, 16, 4096, 23
+TOKENS, MEMBERS, ROWS = 0, 1, 2
 _MOVE = pa.schema([("p", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary())])
 MOVE = "p int, kind int, blob binary"
 _TOKEN = (np.uint32, np.uint64, np.int64, np.int32, *[np.int32] * GROUPS)  # half a token, print, doc, size, group counts
@@ -69,32 +71,56 @@ def unite(label: np.ndarray, row: int, others: np.ndarray) -> None:
         label[np.isin(label, own)] = own[0]
 
 
-def tree_join(vec: np.ndarray, size: np.ndarray, label: np.ndarray, percent: int) -> None:
-    """Unites labels of points that may match. Leaves are runs in order of size and then of the first coordinates."""
+class Node:
+    """A box of the R-tree: the largest coordinates, the least and largest size under it, and rows or children."""
+
+    def __init__(self, top, least: int, most: int, rows=None, children=()):
+        self.top, self.least, self.most, self.rows, self.children = top, least, most, rows, children
+
+
+def packed_tree(vec: np.ndarray, size: np.ndarray) -> Node:
+    """Leaves are runs of points in order of size and then of the first coordinates; nodes are runs of nodes."""
     order = np.lexsort((vec[:, 1], vec[:, 0], size // 8))
-    starts = range(0, len(order), LEAF)
-    leaves = [order[s : s + LEAF] for s in starts]
-    top = np.array([vec[x].max(axis=0) for x in leaves])
-    least, most = np.array([size[x].min() for x in leaves]), np.array([size[x].max() for x in leaves])
-    for a, rows in enumerate(leaves):
-        # boxes: largest coordinates against the least overlap that the smallest members would need
-        reach = ((100 + percent) * np.minimum(top[a], top).sum(axis=1) >= percent * (least[a] + least)) & (100 * most >= percent * least[a]) & (100 * most[a] >= percent * least)
-        for b in np.flatnonzero(reach):
-            if b < a:
-                continue
-            other = leaves[b]
-            if len(np.unique(np.concatenate([label[rows], label[other]]))) == 1:
-                continue
-            ok = may_match(vec[rows][:, None, :], size[rows][:, None], vec[other][None, :, :], size[other][None, :], percent)
-            for i, r in enumerate(rows):
-                hit = other[ok[i]]
-                if len(hit):
-                    unite(label, r, hit)
+    runs = (order[s : s + LEAF] for s in range(0, len(order), LEAF))
+    level = [Node(vec[x].max(axis=0), size[x].min(), size[x].max(), rows=x) for x in runs]
+    while len(level) > 1:
+        parts = (level[s : s + FAN] for s in range(0, len(level), FAN))
+        level = [Node(np.max([n.top for n in p], axis=0), min(n.least for n in p), max(n.most for n in p), children=p) for p in parts]
+    return level[0]
+
+
+def boxes_meet(a: Node, b: Node, percent: int) -> bool:
+    """Whether points under a and b may match: the overlap is at most the summed minima of the largest coordinates, and
+    at least what the smallest members would need."""
+    overlap = int(np.minimum(a.top, b.top).sum())
+    return (100 + percent) * overlap >= percent * (a.least + b.least) and 100 * b.most >= percent * a.least and 100 * a.most >= percent * b.least
+
+
+def tree_join(vec: np.ndarray, size: np.ndarray, label: np.ndarray, percent: int) -> None:
+    """Unites labels of points that may match, by a join of the tree with itself; pairs of nodes wait on a stack."""
+    root = packed_tree(vec, size)
+    due = [(root, root)]
+    while due:
+        a, b = due.pop()
+        if not boxes_meet(a, b, percent):
+            continue
+        if a.rows is None:  # all leaves are on one level
+            due += [(x, y) for i, x in enumerate(a.children) for y in (b.children[i:] if a is b else b.children)]
+            continue
+        rows, other = a.rows, b.rows
+        if len(np.unique(np.concatenate([label[rows], label[other]]))) == 1:
+            continue
+        ok = may_match(vec[rows][:, None, :], size[rows][:, None], vec[other][None, :, :], size[other][None, :], percent)
+        for i, r in enumerate(rows):
+            hit = other[ok[i]]
+            if len(hit):
+                unite(label, r, hit)
 
 
 def _sketch(docs: DataFrame, n: int) -> np.ndarray:
     """How often shingles occur over all documents: a count for each of 2**`SLOTS` hash slots, one byte on a scale that
-    is exact up to 32 and logarithmic above. Its size is fixed; a fuller sketch only makes prefixes less selective."""
+    is exact up to 32 and logarithmic above, up to 10**9. Its size is fixed; a fuller sketch only makes prefixes less
+    selective."""
     ranges = 64
     width = (1 << SLOTS) // ranges
 
@@ -114,7 +140,7 @@ def _sketch(docs: DataFrame, n: int) -> np.ndarray:
             for _, b in rows:
                 step, times = unpack(b, np.uint32, np.uint16)
                 sums[np.cumsum(step, dtype=np.int64) - x * width] += times
-            code = np.where(sums < 32, sums, np.minimum(255, 32 + 16 * np.log2(np.maximum(sums, 32) / 32))).astype(np.uint8)
+            code = np.where(sums < 32, sums, np.minimum(255, 32 + 9 * np.log2(np.maximum(sums, 32) / 32))).astype(np.uint8)
             yield batches_of(_MOVE, p=[x], kind=[TOKENS], blob=[code.tobytes()])
 
     out = np.zeros(1 << SLOTS, np.uint8)
@@ -128,7 +154,7 @@ def _scan(docs: DataFrame, n: int, percent: int, buckets: int, sketch) -> DataFr
         often = sketch.value
         for b in batches:
             tok, prints, ids, sizes, vecs = [], [], [], [], []
-            members: list[tuple[int, int, int]] = []
+            members: list[tuple[int, int, int]] = []  # doc, print, size
             least: dict[tuple[int, int], int] = {}
             sets: dict[tuple[int, int], np.ndarray] = {}
             for doc, raw in texts(b):
@@ -163,14 +189,19 @@ def _scan(docs: DataFrame, n: int, percent: int, buckets: int, sketch) -> DataFr
                         p.append(x)
                         kind.append(TOKENS)
                         blob.append(pack((flat[o] >> U64(32)).astype(np.uint32), columns[0][r], columns[1][r], columns[2][r], *columns[3][r].T))
-            m = np.array(members, dtype=object).reshape(-1, 3)
-            fp = m[:, 1].astype(U64)
-            bucket = (fp % U64(buckets)).astype(np.int64)
+            if members:
+                own = np.array([(d, least.get((fp, n), d), n) for d, fp, n in members], np.int64)
+                p.append(int(mix(own[:1, 0].view(U64))[0] % U64(buckets)))
+                kind.append(ROWS)
+                blob.append(pack(*own.T))
+            classes = np.array([(fp, n) for fp, n in least], U64).reshape(-1, 2)
+            ids = np.array(list(least.values()), np.int64)
+            bucket = (classes[:, 0] % U64(buckets)).astype(np.int64)
             for x in np.unique(bucket):
                 own = bucket == x
                 p.append(int(x))
                 kind.append(MEMBERS)
-                blob.append(pack(m[own, 0].astype(np.int64), fp[own], m[own, 2].astype(np.int64)))
+                blob.append(pack(ids[own], classes[own, 0], classes[own, 1].astype(np.int64)))
             yield batches_of(_MOVE, p=p, kind=kind, blob=blob)
         tidy()
 
@@ -263,23 +294,32 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     buckets = parts = partitions(spark)
 
+    def told(kind: int, a, b, n) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(np.ascontiguousarray(a)), pa.array(np.ascontiguousarray(b)), pa.array(n)], names=["kind", "a", "b", "n"])
+
     def settle(batches):
         for rows in by_bucket(batches).values():
+            for a, b, n in (unpack(b, np.int64, np.int64, np.int64) for kind, b in rows if kind == ROWS):
+                yield told(ROWS, a, b, n)
             members = [unpack(b, np.int64, np.uint64, np.int64) for kind, b in rows if kind == MEMBERS]
             if members:
                 doc, fp, size = (np.concatenate(x) for x in zip(*members, strict=True))
                 o = np.lexsort((doc, size, fp))
                 doc, fp, size = doc[o], fp[o], size[o]
-                head = np.concatenate([[True], (fp[1:] != fp[:-1]) | (size[1:] != size[:-1])]) | (size == 0)
+                head = np.concatenate([[True], (fp[1:] != fp[:-1]) | (size[1:] != size[:-1])])
                 rep = doc[np.maximum.accumulate(np.where(head, np.arange(len(doc)), 0))]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(doc), MEMBERS, np.int32)), pa.array(doc), pa.array(rep), pa.array(size)], names=["kind", "a", "b", "n"])
+                moved = np.unique(np.stack([doc, rep], axis=1)[rep != doc], axis=0)
+                yield told(MEMBERS, moved[:, 0], moved[:, 1], np.zeros(len(moved), np.int64))
             listed = [b for kind, b in rows if kind == TOKENS]
             if listed:
                 a, b = _listed(listed, percent)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), TOKENS, np.int32)), pa.array(a), pa.array(b), pa.array(np.zeros(len(a), np.int64))], names=["kind", "a", "b", "n"])
+                yield told(TOKENS, a, b, np.zeros(len(a), np.int64))
         tidy()
 
-    found = stored(_scan(docs, n, percent, buckets, spark.sparkContext.broadcast(_sketch(docs, n))).repartition(parts, "p").mapInArrow(settle, "kind int, a long, b long, n long"))
+    sketch = spark.sparkContext.broadcast(_sketch(docs, n))
+    found = stored(_scan(docs, n, percent, buckets, sketch).repartition(parts, "p").mapInArrow(settle, "kind int, a long, b long, n long"))
+    sketch.destroy()  # what it served for is written
+    tidy()
     clusters = stored(components(found.where(F.col("kind") == TOKENS).select("a", "b")))
     counts = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("m"))
     largest = counts.agg(F.max("m")).first()[0] or 0
@@ -329,8 +369,11 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
         linked = components(linked.select(F.col("id").alias("a"), F.col("root").alias("b")))
     else:
         linked = linked.groupBy("id").agg(F.min("root").alias("root"))
-    members = found.where(F.col("kind") == MEMBERS).select(F.col("a").alias("doc_id"), F.col("b").alias("id"), F.col("n").alias("n_shingles"))
-    return members.join(linked, "id", "left").select("doc_id", "n_shingles", F.coalesce("root", "id").alias("component_id"))
+    # ids that are not their own component: classes' ids in a batch by way of the class, and linked classes
+    moved = found.where(F.col("kind") == MEMBERS).select("a", "b").distinct().join(linked.withColumnRenamed("id", "b"), "b", "left").select(F.col("a").alias("id"), F.coalesce("root", "b").alias("root"))
+    at = moved.unionByName(linked.where("root <> id"))
+    rows = found.where(F.col("kind") == ROWS).select(F.col("a").alias("doc_id"), F.col("b").alias("id"), F.col("n").alias("n_shingles"))
+    return rows.join(at, "id", "left").select("doc_id", "n_shingles", F.coalesce("root", "id").alias("component_id"))
 
 
 def op8_ngram_join(spark, sf_dir: str) -> DataFrame:

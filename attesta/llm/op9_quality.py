@@ -89,7 +89,9 @@ def quality(docs: DataFrame) -> DataFrame:
             cols = list(zip(*rows, strict=True)) or [()] * 9
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=[x.split()[0] for x in OUT.split(", ")])
 
-    return docs.select("doc_id", "text").mapInArrow(run, OUT)
+    # doc_id keeps its own type
+    docs = docs.select("doc_id", "text")
+    return docs.mapInArrow(run, OUT.replace("doc_id long", f"doc_id {docs.schema['doc_id'].dataType.simpleString()}"))
 
 
 def op9_quality(spark, sf_dir: str) -> DataFrame:

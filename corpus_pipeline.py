@@ -1,7 +1,12 @@
 """A corpus pipeline of five stages: language, near duplicates, repeated passages, mixture, token ids.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; the next one works on all that it kept. Columns of
-documents are doc_id, text, lang, source and n_chars.
+documents are doc_id, text, lang, source and n_chars; other columns are not read.
+
+Defined cases, in every stage: an empty table gives an empty one; each row is a document of its own, whether its doc_id
+is null, shared or its own; repeated rows are treated alike, but for near duplicates and repeated strings, where the
+first stays; null or empty text is in no language and goes in the first stage; given to a later stage alone it has no
+near duplicate and nothing to cut, takes no place in a mixture, and has no ids; a null lang or source is kept as it is.
 """
 
 from __future__ import annotations
@@ -45,19 +50,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts every 100-byte string that also starts earlier; a document of which nothing but space stays goes."""
+    """Cuts every 100-byte string that also starts earlier, and what is left of a character that a cut has broken; a
+    document of which nothing but space stays goes."""
     rows = numbered(docs).select(F.col("row").alias("doc_id"), F.col("doc_id").alias("id"), "text", "lang", "source", "n_chars")
     got = op6_suffix_dedup.remove_repeats(rows, carry=["id", "lang", "source", "n_chars", "text"])
-    # a cut may fall inside a character; the bytes of a broken one go with it
-    kept = F.when(F.size("spans") == 0, F.col("carry.text")).otherwise(F.regexp_replace(F.decode("kept", "UTF-8") if False else F.try_validate_utf8(F.make_valid_utf8(F.col("kept").cast("string"))), "�", ""))
+    kept = F.when(F.size("spans") == 0, F.col("carry.text")).otherwise(F.col("kept_text"))
     got = got.select(F.col("carry.id").alias("doc_id"), kept.alias("text"), "carry.lang", "carry.source", F.size("spans").alias("cut"))
     got = got.where((F.col("cut") == 0) | F.col("text").rlike(WORD_SQL))
     return got.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each pass over a document, in order of training position; the last document of a pass is cut to the
-    words still due."""
+    """A row for each pass over a document, range-sorted by training position; the last document of a pass is cut to the
+    words still due. Columns of documents have no place for the position, so a reader that deals files anew loses the
+    order: `op7_mixing.mix` returns the position itself."""
     docs = numbered(docs)
     mixed = op7_mixing.mix(docs.select(F.col("row").alias("doc_id"), "source", "text")).withColumnRenamed("doc_id", "row")
     takes = F.array(F.struct(F.col("first_take").alias("take"), F.col("position").alias("at")), F.struct(F.col("second_take").alias("take"), F.col("second_position").alias("at")))

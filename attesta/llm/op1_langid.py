@@ -132,11 +132,11 @@ def fit(labelled: DataFrame, per_language: int = 600, keep: int = 2500, slot_bit
     """labelled: doc_id, text, lang without nulls in lang. The sample and the filters are bounded by the parameters for
     each language, whatever the table's size."""
     # a hash threshold for each language leaves little more than its sample, so no task gathers a language
-    counts = labelled.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("ids"))
+    counts = stored(labelled.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("ids")))
     ids = labelled.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 40)).alias("h")).join(counts, "lang")
     few = ids.where(F.col("h") < F.lit(float(1 << 40)) * 2 * (per_language + 100) / F.col("ids")).select("lang", "h", "doc_id").distinct()
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
-    chosen = few.withColumn("r", rank).where(F.col("r") <= per_language).select("doc_id", "lang")
+    chosen = stored(few.withColumn("r", rank).where(F.col("r") <= per_language).select("doc_id", "lang"))  # small, so texts stay
     sample = stored(labelled.join(chosen, ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text")).select("lang", "text"))
 
     def counted(batches):

@@ -1,20 +1,26 @@
 """Incremental removal of repeated word windows with a log-structured fingerprint index.
 
 Documents arrive in batches of ascending doc_id. The fingerprints of a batch (stretches of window hashes, see
-`windows`) are range-partitioned like the index, merge-joined with its immutable sorted runs, and every hash match
-whose surroundings differ is verified word by word; then the batch and the runs are compacted into one sorted run,
-written for the next batch. The index keeps the first occurrence of each stretch, so it grows with distinct text only.
+`windows`) are range-partitioned like the index, sorted, and merge-joined with each of its immutable sorted runs; every
+hash match whose surroundings differ is verified word by word. What no run holds becomes a run of its own, written for
+the next batch. Once FAN runs of a level have gathered they are merged into one of the next level, so that a batch meets
+few runs and a stretch is rewritten once a level. The index keeps the first occurrence of each stretch, so it grows with
+distinct text only. `save` and `open` carry it from one session to the next.
 
 Defined cases: a null or empty text has no words; a text under `width` words keeps them all; rows without doc_id take
 no part and come back whole; rows that share a doc_id count as one document; windows of one document never remove each
-other; extra columns ride along in `carry`; an empty table gives an empty result.
+other; extra columns ride along in `carry`; an empty table gives an empty result; an empty batch adds no run's rows. A
+batch with an id that is not above all earlier ones is refused.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +28,8 @@ from attesta.llm import repeats
 from attesta.llm.common import partitions, tidy, word_hashes, word_spans
 
 GRAM = 4
+#: Runs of one level that are merged into one of the next.
+FAN = 4
 
 
 def tokens(raw: bytes) -> np.ndarray:
@@ -31,27 +39,60 @@ def tokens(raw: bytes) -> np.ndarray:
 class FingerprintLog:
     """The index. `add` takes a batch and returns its intervals of windows that an earlier document holds."""
 
-    def __init__(self, width: int, gram: int, points: np.ndarray):
-        self.width, self.gram, self.points = width, gram, points
-        self.runs: list[DataFrame] = []
+    def __init__(self, width: int, gram: int, points: np.ndarray, fan: int = FAN):
+        self.width, self.gram, self.points, self.fan = width, gram, points, fan
+        self.runs: list[tuple[int, DataFrame, str | None]] = []  # level, table, and name once saved
         self.seen: DataFrame | None = None
         self.newest: int | None = None
+        self.version = 0
 
     def add(self, batch: DataFrame, newest: int | None, more: bool = True) -> DataFrame:
         """batch: doc_id, text; all ids greater than those before. newest: its greatest id. more: another batch may
-        follow, so the compacted run is written."""
+        follow, so what is new in this one becomes a run."""
+        if self.newest is not None and batch.where(F.col("doc_id") <= self.newest).limit(1).count():
+            raise ValueError(f"a batch must only hold ids above {self.newest}")
         moved = repeats.scan(batch, tokens, self.width, self.gram, False, self.points)
-        for run in self.runs:
-            moved = moved.unionByName(run.select("p", "kind", "blob"))
+        for _, run, _ in self.runs:
+            moved = moved.unionByName(run)
         found = repeats.settled(moved, False, keep_run=more)
         self.seen = batch if self.seen is None else self.seen.unionByName(batch)
         verified = repeats.contested(self.seen, found, tokens, self.width, False, self.newest)
-        self.runs = [found.where(F.col("kind") == repeats.RUN)] if more else []
+        if more:
+            self.runs.append((0, found.where(F.col("kind") == repeats.RUN).select("p", "kind", "blob"), None))
+            self._compact()
         self.newest = newest
         return found.where(F.col("kind") == repeats.INTERVALS).select("doc", "start", "count").unionByName(verified.select("doc", "start", "count"))
 
-
-def remove_repeats(docs: DataFrame, carry: list[str] | None = None, width: int = 13, gram: int = GRAM, batches: int = 2) -> DataFrame:
+    def _compact(self):
+        level = 0
+        while sum(at == level for at, *_ in self.runs) >= self.fan:
+            merged = repeats.merged_runs([run for at, run, _ in self.runs if at == level])
+            self.runs = [(level + 1, merged, None), *(r for r in self.runs if r[0] != level)]
+            level += 1
+
+    def save(self, spark: SparkSession, folder: str):
+        """Adds the runs that the folder lacks and, last, a new manifest; runs that it holds are never written again."""
+        names = [name or f"run-{uuid.uuid4().hex}" for *_, name in self.runs]
+        for (_, run, have), name in zip(self.runs, names, strict=True):
+            if have is None:
+                run.write.parquet(f"{folder}/{name}")
+        self.runs = [(at, run, name) for (at, run, _), name in zip(self.runs, names, strict=True)]
+        self.version += 1
+        manifest = {"width": self.width, "gram": self.gram, "points": [int(x) for x in self.points], "fan": self.fan, "runs": [[at, name] for at, _, name in self.runs], "newest": self.newest}
+        spark.createDataFrame([(json.dumps(manifest),)], "value string").coalesce(1).write.text(f"{folder}/manifest/version={self.version}")
+
+    @classmethod
+    def open(cls, spark: SparkSession, folder: str, seen: DataFrame) -> FingerprintLog:
+        """The index as last saved. seen: the documents (doc_id, text) it was made of, for matches are verified there."""
+        last = spark.read.text(f"{folder}/manifest").orderBy(F.desc("version")).first()
+        have = json.loads(last.value)
+        log = cls(have["width"], have["gram"], np.asarray(have["points"], np.uint64), have["fan"])
+        log.runs = [(at, spark.read.schema(repeats.MOVE).parquet(f"{folder}/{name}"), name) for at, name in have["runs"]]
+        log.seen, log.newest, log.version = seen.select("doc_id", "text"), have["newest"], last.version
+        return log
+
+
+def remove_repeats(docs: DataFrame, carry: list[str] | None = None, width: int = 13, gram: int = GRAM, batches: int = 2, fan: int = FAN) -> DataFrame:
     """doc_id, carry, n_words, spans (array of first and end word of each maximal removed run) and kept (string: the
     remaining words joined by one space) of each row of docs (doc_id, text)."""
     base = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in carry or ["doc_id"]]).alias("carry"))
@@ -59,7 +100,7 @@ def remove_repeats(docs: DataFrame, carry: list[str] | None = None, width: int =
     points = repeats.split_points(pairs, tokens, width, gram, 3 * partitions(docs.sparkSession))
     cuts = sorted(set(pairs.approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.01))) if batches > 1 else []
     edges = [None, *map(int, cuts), None]
-    log, intervals = FingerprintLog(width, gram, points), None
+    log, intervals = FingerprintLog(width, gram, points, fan), None
     for i, (low, high) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
         part = pairs
         if low is not None:

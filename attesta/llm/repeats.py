@@ -14,8 +14,8 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attesta.llm.common import batches_of, by_bucket, pack, partitions, stored, tidy, unpack
-from attesta.llm.windows import contest, packed, settle, stretches, unpacked
+from attesta.llm.common import batches_of, by_bucket, pack, partitions, runs, stored, tidy, unpack
+from attesta.llm.windows import compacted, contest, merge_join, packed, settle, several, stretches, unpacked
 
 MOVE = "p int, kind int, blob binary"
 FOUND = "kind int, doc long, start long, count long, gram long, offset int, p int, blob binary"
@@ -39,7 +39,7 @@ def scan(docs: DataFrame, tokens: Tokens, w: int, k: int, same_doc: bool, splitt
     def run(batches):
         for n, b in enumerate(batches):
             cols = stretches(((d, tokens(t)) for d, t in texts(b)), w, k)
-            kept, out, _, _ = settle(cols, same_doc)
+            kept, out = settle(cols, same_doc)
             p, kind, blob = [], [], []
             if len(out[0]):
                 p.append(-1 - n)
@@ -73,30 +73,50 @@ def _rows(kind: int, p: int, doc, start, count, gram=None, offset=None) -> pa.Re
 
 
 def settled(moved: DataFrame, same_doc: bool, keep_run: bool = False) -> DataFrame:
-    """Intervals, contested stretches and, if asked for, the merged run of each range; written to the shared folder."""
+    """Intervals, contested stretches and, if asked for, a sorted run of what is new in each range; written to the shared
+    folder. Each RUN row of `moved` is a range of one historical run, in order; the batch is sorted by itself and
+    merge-joined with every run, which stays as it is."""
 
     def run(batches):
         for p, rows in by_bucket(batches).items():
             blobs = {k: [b for kind, b in rows if kind == k] for k in (STRETCHES, INTERVALS, RUN)}
             for b in blobs[INTERVALS]:
                 yield _rows(INTERVALS, p, *unpack(b, np.int64, np.int64, np.int64))
-            history, fresh = unpacked(blobs[RUN]), unpacked(blobs[STRETCHES])
-            old = np.arange(len(history[0]) + len(fresh[0])) < len(history[0])
-            kept, out, several, old = settle(tuple(np.concatenate(x) for x in zip(history, fresh, strict=True)), same_doc, old)
+            fresh, out = settle(unpacked(blobs[STRETCHES]), same_doc)
             yield _rows(INTERVALS, p, *out)
-            gram, _, doc, start, count, offset = (c[several] for c in kept)
-            if not old.all():
-                # a gram that only history holds was compared before
-                live = np.isin(gram, gram[~old[several]])
-                yield _rows(CONTESTED, p, doc[live], start[live], count[live], gram[live], offset[live])
-            if keep_run and len(kept[0]):
-                yield batches_of(_FOUND, kind=[RUN], doc=[None], start=[None], count=[None], gram=[None], offset=[None], p=[p], blob=[packed(kept)])
+            history = [unpacked([b]) for b in blobs[RUN]]
+            known, near = np.zeros(len(fresh[0]), bool), np.zeros(len(fresh[0]), bool)
+            for old in history:
+                same, beside = merge_join(old, fresh)
+                known, near = known | same, near | beside
+            yield _rows(INTERVALS, p, *runs(fresh[2][known], fresh[3][known], fresh[4][known].astype(np.int64)))
+            fresh, near = tuple(c[~known] for c in fresh), near[~known]
+            rival = near | several(fresh[0], fresh[1])
+            # a gram that only history holds was compared before
+            for gram, _, doc, start, count, offset in (tuple(c[rival] for c in fresh), *(tuple(c[np.isin(old[0], fresh[0][near])] for c in old) for old in history)):
+                yield _rows(CONTESTED, p, doc, start, count, gram, offset)
+            if keep_run and len(fresh[0]):
+                yield batches_of(_FOUND, kind=[RUN], doc=[None], start=[None], count=[None], gram=[None], offset=[None], p=[p], blob=[packed(fresh)])
         tidy()
 
     n = partitions(moved.sparkSession)
     return stored(moved.repartition(n, "p").mapInArrow(run, FOUND))
 
 
+def merged_runs(tables: list[DataFrame]) -> DataFrame:
+    """One run of several, written to the shared folder: ranges of one p are merged and keep their order."""
+
+    def run(batches):
+        for p, rows in by_bucket(batches).items():
+            yield batches_of(_MOVE, p=[p], kind=[RUN], blob=[packed(compacted([unpacked([b]) for _, b in rows]))])
+        tidy()
+
+    moved = tables[0]
+    for t in tables[1:]:
+        moved = moved.unionByName(t)
+    return stored(moved.repartition(partitions(moved.sparkSession), "p").mapInArrow(run, MOVE))
+
+
 def contested(docs: DataFrame, found: DataFrame, tokens: Tokens, w: int, same_doc: bool, newer_than: int | None = None) -> DataFrame:
     """Intervals (doc, start, count) of contested windows that an equal window precedes."""
     part = F.struct("p", "start", "count", "gram", "offset")

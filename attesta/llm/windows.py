@@ -121,30 +121,57 @@ def stretches(docs: Iterator[tuple[int, np.ndarray]], w: int, k: int):
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
-def settle(cols, same_doc: bool, old: np.ndarray | None = None):
+def settle(cols, same_doc: bool):
     """Sorts stretches by gram, content, document and start and splits them: (kept columns in that order, intervals
-    of windows that a copy precedes, mask of kept stretches whose gram has several contents). same_doc: a copy earlier
-    in the same document precedes too. old: stretches of a historical run, which never become intervals."""
+    of windows that a copy precedes). same_doc: a copy earlier in the same document precedes too."""
     gram, content, doc, start, count, offset = cols
     o = np.lexsort((start, doc, content, gram))
     gram, content, doc, start, count, offset = (c[o] for c in (gram, content, doc, start, count, offset))
     if not len(gram):
-        return (gram, content, doc, start, count, offset), (doc, start, count.astype(np.int64)), np.empty(0, bool), np.empty(0, bool)
-    old = np.zeros(len(gram), bool) if old is None else old[o]
+        return (gram, content, doc, start, count, offset), (doc, start, count.astype(np.int64))
     head = np.concatenate([[True], (gram[1:] != gram[:-1]) | (content[1:] != content[:-1])])
     first = np.maximum.accumulate(np.where(head, np.arange(len(gram)), 0))
     gone = (doc != doc[first]) | ((start != start[first]) & same_doc)
     again = np.concatenate([[False], ~head[1:] & (doc[1:] == doc[:-1]) & (start[1:] == start[:-1])])
-    hit = gone & ~old
     keep = ~gone & ~again
-    out = runs(doc[hit], start[hit], count[hit].astype(np.int64))
-    kept = tuple(c[keep] for c in (gram, content, doc, start, count, offset))
-    g, c = kept[0], kept[1]
-    part = np.cumsum(np.concatenate([[0], g[1:] != g[:-1]])) if len(g) else np.empty(0, np.int64)
-    several = np.zeros(int(part[-1]) + 1 if len(g) else 0, bool)
-    differs = (g[1:] == g[:-1]) & (c[1:] != c[:-1])
-    several[part[1:][differs]] = True
-    return kept, out, several[part] if len(g) else np.empty(0, bool), old[keep]
+    return tuple(c[keep] for c in (gram, content, doc, start, count, offset)), runs(doc[gone], start[gone], count[gone].astype(np.int64))
+
+
+def several(gram: np.ndarray, content: np.ndarray) -> np.ndarray:
+    """Of sorted stretches, a mask of those whose gram has several contents."""
+    if not len(gram):
+        return np.empty(0, bool)
+    part = np.cumsum(np.concatenate([[0], gram[1:] != gram[:-1]]))
+    out = np.zeros(int(part[-1]) + 1, bool)
+    out[part[1:][(gram[1:] == gram[:-1]) & (content[1:] != content[:-1])]] = True
+    return out[part]
+
+
+def merge_join(run, fresh) -> tuple[np.ndarray, np.ndarray]:
+    """Masks over fresh stretches: those whose content a run holds, and those of which it holds the gram. Both sides are
+    sorted by gram and content; one pass finds the slice of each gram, and a bisection inside all slices the content."""
+    gram, content = run[0], run[1]
+    low, end = np.searchsorted(gram, fresh[0], "left"), np.searchsorted(gram, fresh[0], "right")
+    near, high = end > low, end.copy()
+    while True:
+        open_ = np.flatnonzero(low < high)
+        if not len(open_):
+            break
+        middle = (low[open_] + high[open_]) >> 1
+        less = content[middle] < fresh[1][open_]
+        low[open_[less]] = middle[less] + 1
+        high[open_[~less]] = middle[~less]
+    same = np.zeros(len(near), bool)
+    inside = np.flatnonzero(low < end)
+    same[inside] = content[low[inside]] == fresh[1][inside]
+    return same, near
+
+
+def compacted(parts: list[tuple]) -> tuple:
+    """One sorted run of several. No two hold one content, so nothing is lost or joined."""
+    cols = tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+    o = np.lexsort((cols[1], cols[0]))  # a merge sort, so runs that are in order already are only merged
+    return tuple(c[o] for c in cols)
 
 
 def multikey(keys: np.ndarray, group: np.ndarray) -> np.ndarray:

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from attesta.llm import op1_langid, op2_warc, op3_bpe, op4_packing, op5_topk, op6_suffix_dedup, op7_mixing, op8_ngram_join, op9_quality, op10_lsm_dedup
+from attesta.llm import op1_langid, op2_warc, op3_bpe, op4_packing, op5_topk, op6_suffix_dedup, op7_mixing, op8_ngram_join, op9_quality, op10_lsm_dedup, repeats, windows
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, spans int, p int, kind string"
 
@@ -68,8 +68,8 @@ def test_lsm_dedup(docs, rows, empty):
     for i, w in words.items():
         for s in range(len(w) - 12):
             first.setdefault(tuple(w[s : s + 13]), i)
-    for batches in (1, 2, 4):
-        got = {r.doc_id: r for r in op10_lsm_dedup.remove_repeats(docs, batches=batches).collect()}
+    for batches, fan in ((1, 4), (2, 4), (4, 4), (7, 2)):
+        got = {r.doc_id: r for r in op10_lsm_dedup.remove_repeats(docs, batches=batches, fan=fan).collect()}
         for i, w in words.items():
             cut = bytearray(len(w))
             for s in range(len(w) - 12):
@@ -80,6 +80,36 @@ def test_lsm_dedup(docs, rows, empty):
     assert op10_lsm_dedup.remove_repeats(empty).count() == 0
 
 
+def test_merge_join_against_sets():
+    r = np.random.default_rng(3)
+    for size in (0, 1, 400):
+        pairs = sorted({(int(a), int(b)) for a, b in r.integers(0, 25, (size, 2))})
+        fresh = sorted((int(a), int(b)) for a, b in r.integers(0, 30, (200, 2)))
+        columns = lambda rows: tuple(np.asarray(x, np.uint64) for x in (zip(*rows, strict=True) if rows else ((), ())))
+        same, near = windows.merge_join(columns(pairs), columns(fresh))
+        assert same.tolist() == [f in set(pairs) for f in fresh]
+        assert near.tolist() == [f[0] in {g for g, _ in pairs} for f in fresh]
+
+
+def test_log_is_continued_from_its_folder(spark, docs, tmp_path):
+    pairs, folder = docs.select("doc_id", "text"), f"file://{tmp_path}/log"
+    points = repeats.split_points(pairs, op10_lsm_dedup.tokens, 13, op10_lsm_dedup.GRAM, 5)
+
+    def words(intervals):
+        return {(r.doc, r.start + i) for r in intervals.collect() for i in range(r["count"])}
+
+    whole = words(op10_lsm_dedup.FingerprintLog(13, op10_lsm_dedup.GRAM, points).add(pairs, None))
+    log, got = op10_lsm_dedup.FingerprintLog(13, op10_lsm_dedup.GRAM, points, fan=2), set()
+    for low in range(-1, 20, 4):
+        got |= words(log.add(pairs.where((F.col("doc_id") > low) & (F.col("doc_id") <= low + 4)), low + 4))
+        log.save(spark, folder)
+        log = op10_lsm_dedup.FingerprintLog.open(spark, folder, pairs.where(F.col("doc_id") <= low + 4))
+        assert len({at for at, *_ in log.runs}) == len(log.runs)  # never two of a level, for two are merged
+    assert got == whole
+    with pytest.raises(ValueError, match="above"):
+        log.add(pairs, None)
+
+
 @pytest.mark.parametrize(("n", "percent"), [(4, 85), (5, 80)])
 def test_ngram_join(docs, rows, empty, n, percent):
     sets = {}

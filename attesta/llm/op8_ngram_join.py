@@ -3,13 +3,16 @@
 1. Documents become sets of 64-bit shingle hashes; documents with equal sets form a class and leave a task as one row.
    A class is listed under the tokens of its prefix: the ceil-bounded first part of its set in one global order, of
    which two sets of the asked similarity must share one. The order goes by a counting sketch of all shingles, rare
-   ones first; any order is exact, this one keeps lists short.
+   ones first; any order is exact, this one keeps lists short. Sets of `LONG` shingles and more are listed under pairs
+   of neighbours in their sorted set instead: unlike sets of that size often share one shingle and hardly ever two that
+   have none between them, and at most as many runs of shared shingles as there are differences, and one, leave similar
+   sets enough pairs for a prefix of pairs to hold one of both.
 2. Under each token, classes are points: shingles are hashed into 16 groups and the group counts are coordinates. An
    R-tree (packed by size and coordinates, `LEAF` points a leaf, `FAN` children an inner node) is joined with itself
    from the root down: summed minima of coordinates, of boxes first and of points then, bound the overlap. Pairs that may reach the similarity are only united, so a list of m classes yields under
    m edges. All pairs that can be similar lie in one cluster of these edges.
 3. Clusters fetch their sets and verify pairs exactly, again behind the point bound, and skip pairs already connected.
-   Clusters over `BLOCK` classes are verified in pairs of blocks, each a task of its own.
+   Clusters over `BLOCK` classes or `WEIGHT` shingles are verified in pairs of blocks, each a task of its own.
 4. Rows of one class point at the smallest id of the class in their own batch; one row for each batch and class, and not
    each member, goes on to the class, so that a class of a third of all rows gathers nowhere.
 
@@ -29,10 +32,12 @@ from attesta.llm.common import U64, Union, batches_of, by_bucket, components, mi
 from attesta.llm.repeats import texts
 
 GROUPS, LEAF, FAN, BLOCK, SLOTS = 16, 64, 16, 4096, 23
-TOKENS, MEMBERS, ROWS = 0, 1, 2
+LONG, WEIGHT = 512, 1 << 21
+TOKENS, MEMBERS, ROWS, PAIRS = 0, 1, 2, 3
 _MOVE = pa.schema([("p", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary())])
 MOVE = "p int, kind int, blob binary"
 _TOKEN = (np.uint32, np.uint64, np.int64, np.int32, *[np.int32] * GROUPS)  # half a token, print, doc, size, group counts
+_PAIR = (np.uint32, np.uint64, np.int64, np.int32)  # half a pair, print, doc, size
 
 
 def shingles(raw: bytes, n: int) -> np.ndarray:
@@ -59,6 +64,20 @@ def coordinates(tokens: np.ndarray) -> np.ndarray:
     return np.bincount((tokens & U64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
 
 
+def prefix(s: np.ndarray, often: np.ndarray, percent: int) -> np.ndarray:
+    """Of a sorted set with the counts of its shingles, those that a similar set of under `LONG` may be met under."""
+    return s[np.argsort(often, kind="stable")[: len(s) - -(-percent * len(s) // 100) + 1]]
+
+
+def pair_prefix(s: np.ndarray, often: np.ndarray, percent: int) -> np.ndarray:
+    """The same for pairs of neighbours in the sorted set, by the rarer shingle of each. Two similar sets share
+    3 * overlap - both sizes - 1 pairs at least, which is least where one is `percent` of the other and inside it."""
+    with np.errstate(over="ignore"):
+        pairs = mix(s[:-1] * U64(0xA0761D6478BD642F) + s[1:])
+    order = np.argsort(np.minimum(often[:-1], often[1:]), kind="stable")
+    return pairs[order[: len(s) - -(-(2 * percent - 100) * len(s) // 100) + 1]]
+
+
 def may_match(va, na, vb, nb, percent: int) -> np.ndarray:
     """Whether summed minima of counts leave room for the similarity. Box corners serve as well as points."""
     low, high = np.minimum(na, nb), np.maximum(na, nb)
@@ -149,14 +168,31 @@ def _sketch(docs: DataFrame, n: int) -> np.ndarray:
     return out
 
 
+def _dealt(lists: list[np.ndarray], buckets: int, columns: tuple):
+    """Bucket and packed rows (half a token, columns of its set) of the tokens of each set."""
+    rep = np.repeat(np.arange(len(lists)), [len(t) for t in lists])
+    flat = np.concatenate(lists)
+    bucket = ((flat & U64((1 << 32) - 1)) // U64(GROUPS) % U64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    edge = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    for x in range(buckets):
+        o = order[edge[x] : edge[x + 1]]
+        if len(o):
+            yield x, pack((flat[o] >> U64(32)).astype(np.uint32), *(c[rep[o]] for c in columns))
+
+
 def _scan(docs: DataFrame, n: int, percent: int, buckets: int, sketch) -> DataFrame:
+    # from sets that may match a long one on; at low similarities few pairs are shared, so all sets go by shingles
+    long = LONG if percent >= 60 else np.iinfo(np.int64).max
+    meets_long = -(-percent * long // 100)
+
     def run(batches):
         often = sketch.value
         for b in batches:
-            tok, prints, ids, sizes, vecs = [], [], [], [], []
             members: list[tuple[int, int, int]] = []  # doc, print, size
             least: dict[tuple[int, int], int] = {}
-            sets: dict[tuple[int, int], np.ndarray] = {}
+            few: dict[tuple[int, int], tuple] = {}
+            many: dict[tuple[int, int], np.ndarray] = {}
             for doc, raw in texts(b):
                 s = shingles(raw, n)
                 if not len(s):
@@ -165,30 +201,24 @@ def _scan(docs: DataFrame, n: int, percent: int, buckets: int, sketch) -> DataFr
                 key = (fingerprint(s), len(s))
                 members.append((doc, *key))
                 if key not in least:
-                    order = s[np.argsort(often[(s >> U64(64 - SLOTS)).astype(np.int64)], kind="stable")]  # s is sorted
-                    sets[key] = order[: len(s) - -(-percent * len(s) // 100) + 1]
-                    vecs.append(coordinates(s))
+                    seen = often[(s >> U64(64 - SLOTS)).astype(np.int64)]
+                    if len(s) < long:
+                        few[key] = prefix(s, seen, percent), coordinates(s)
+                    if len(s) >= meets_long:
+                        many[key] = pair_prefix(s, seen, percent)
                 least[key] = min(doc, least.get(key, doc))
-            for (fp, size), prefix in sets.items():
-                tok.append(prefix)
-                prints.append(fp)
-                ids.append(least[fp, size])
-                sizes.append(size)
             p, kind, blob = [], [], []
-            if tok:
-                rep = np.repeat(np.arange(len(tok)), [len(t) for t in tok])
-                flat = np.concatenate(tok)
-                bucket = ((flat & U64((1 << 32) - 1)) // U64(GROUPS) % U64(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                edge = np.searchsorted(bucket[order], np.arange(buckets + 1))
-                columns = (np.array(prints, U64), np.array(ids, np.int64), np.array(sizes, np.int32), np.array(vecs, np.int32))
-                for x in range(buckets):
-                    o = order[edge[x] : edge[x + 1]]
-                    if len(o):
-                        r = rep[o]
+            for what, sets in ((TOKENS, few), (PAIRS, many)):
+                if sets:
+                    columns = np.array([k[0] for k in sets], U64), np.array([least[k] for k in sets], np.int64), np.array([k[1] for k in sets], np.int32)
+                    lists = list(sets.values())
+                    if what == TOKENS:
+                        columns += tuple(np.array([v for _, v in lists], np.int32).T)
+                        lists = [t for t, _ in lists]
+                    for x, packed in _dealt(lists, buckets, columns):
                         p.append(x)
-                        kind.append(TOKENS)
-                        blob.append(pack((flat[o] >> U64(32)).astype(np.uint32), columns[0][r], columns[1][r], columns[2][r], *columns[3][r].T))
+                        kind.append(what)
+                        blob.append(packed)
             if members:
                 own = np.array([(d, least.get((fp, n), d), n) for d, fp, n in members], np.int64)
                 p.append(int(mix(own[:1, 0].view(U64))[0] % U64(buckets)))
@@ -210,26 +240,11 @@ def _scan(docs: DataFrame, n: int, percent: int, buckets: int, sketch) -> DataFr
 
 def _listed(rows: list[bytes], percent: int):
     """Edges (doc, doc) that connect what may be similar among the classes listed under this bucket's tokens."""
-    cols = [np.concatenate(x) for x in zip(*(unpack(b, *_TOKEN) for b in rows), strict=True)]
-    order = np.lexsort((cols[3], cols[1]))
-    fp, size = cols[1][order], cols[3][order]
-    fresh = np.concatenate([[True], (fp[1:] != fp[:-1]) | (size[1:] != size[:-1])])
-    first, name = order[fresh], np.empty(len(order), np.int64)
-    name[order] = np.cumsum(fresh) - 1
-    doc = np.full(len(first), np.iinfo(np.int64).max)
-    np.minimum.at(doc, name, cols[2])
-    order = np.lexsort((name, cols[0]))
-    tok, name = cols[0][order], name[order]
-    fresh = np.concatenate([[True], (tok[1:] != tok[:-1]) | (name[1:] != name[:-1])])
-    tok, name = tok[fresh], name[fresh]
-    shared = np.concatenate([[False], tok[1:] == tok[:-1]])
-    shared[:-1] |= shared[1:]
-    if not shared.any():
+    tok, name, doc, first, cols = _named(rows, _TOKEN)
+    if not len(tok):
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    used, name = np.unique(name[shared], return_inverse=True)
-    tok, doc, first = tok[shared], doc[used], first[used]
     size, vec = cols[3][first].astype(np.int64), np.stack([c[first] for c in cols[4:]], axis=1).astype(np.int64)
-    del cols, order, fresh, fp
+    del cols
     cut = np.flatnonzero(np.concatenate([[True], tok[1:] != tok[:-1], [True]]))
     forest = Union(len(first))
     length = np.diff(cut)
@@ -248,14 +263,53 @@ def _listed(rows: list[bytes], percent: int):
             for x, y in zip(order[:-1].tolist(), order[1:].tolist(), strict=True):
                 if mine[x] == mine[y]:
                     forest.join(int(part[x]), int(part[y]))
-    label = np.array([forest.find(x) for x in range(len(first))], np.int64)
-    head = np.full(len(first), np.iinfo(np.int64).max)
+    return _edges(forest, doc)
+
+
+def _named(rows: list[bytes], kinds: tuple):
+    """Of packed rows (token, print, doc, size, ...): token and class of each entry of a list of several classes, in order of
+    both, the smallest doc and a row of each class, and the columns."""
+    cols = [np.concatenate(x) for x in zip(*(unpack(b, *kinds) for b in rows), strict=True)]
+    order = np.lexsort((cols[3], cols[1]))
+    fp, size = cols[1][order], cols[3][order]
+    fresh = np.concatenate([[True], (fp[1:] != fp[:-1]) | (size[1:] != size[:-1])])
+    first, name = order[fresh], np.empty(len(order), np.int64)
+    name[order] = np.cumsum(fresh) - 1
+    doc = np.full(len(first), np.iinfo(np.int64).max)
+    np.minimum.at(doc, name, cols[2])
+    order = np.lexsort((name, cols[0]))
+    tok, name = cols[0][order], name[order]
+    fresh = np.concatenate([[True], (tok[1:] != tok[:-1]) | (name[1:] != name[:-1])])
+    tok, name = tok[fresh], name[fresh]
+    shared = np.concatenate([[False], tok[1:] == tok[:-1]])
+    shared[:-1] |= shared[1:]
+    used, name = np.unique(name[shared], return_inverse=True)
+    return tok[shared], name, doc[used], first[used], cols
+
+
+def _edges(forest: Union, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges from each class to the smallest doc of its tree."""
+    label = np.array([forest.find(x) for x in range(len(doc))], np.int64)
+    head = np.full(len(doc), np.iinfo(np.int64).max)
     np.minimum.at(head, label, doc)
     root = head[label]
     moved = root != doc
     return doc[moved], root[moved]
 
 
+def _listed_pairs(rows: list[bytes], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same for lists of pairs. In order of size, sets that may match are joined by neighbours that may."""
+    tok, name, doc, first, cols = _named(rows, _PAIR)
+    size = cols[3][first].astype(np.int64)
+    order = np.lexsort((size[name], tok))
+    tok, name = tok[order], name[order]
+    forest = Union(len(doc))
+    ok = np.flatnonzero((tok[1:] == tok[:-1]) & (100 * size[name[:-1]] >= percent * size[name[1:]]))
+    for x, y in zip(name[ok].tolist(), name[ok + 1].tolist(), strict=True):
+        forest.join(x, y)
+    return _edges(forest, doc)
+
+
 def _verify(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
     """The smallest id that each class reaches by verified links."""
     size = np.array([len(s) for s in sets])
@@ -310,10 +364,11 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
                 rep = doc[np.maximum.accumulate(np.where(head, np.arange(len(doc)), 0))]
                 moved = np.unique(np.stack([doc, rep], axis=1)[rep != doc], axis=0)
                 yield told(MEMBERS, moved[:, 0], moved[:, 1], np.zeros(len(moved), np.int64))
-            listed = [b for kind, b in rows if kind == TOKENS]
-            if listed:
-                a, b = _listed(listed, percent)
-                yield told(TOKENS, a, b, np.zeros(len(a), np.int64))
+            for kind, joined in ((TOKENS, _listed), (PAIRS, _listed_pairs)):
+                listed = [b for k, b in rows if k == kind]
+                if listed:
+                    a, b = joined(listed, percent)
+                    yield told(TOKENS, a, b, np.zeros(len(a), np.int64))
         tidy()
 
     sketch = spark.sparkContext.broadcast(_sketch(docs, n))
@@ -321,9 +376,11 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
     sketch.destroy()  # what it served for is written
     tidy()
     clusters = stored(components(found.where(F.col("kind") == TOKENS).select("a", "b")))
-    counts = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("m"))
-    largest = counts.agg(F.max("m")).first()[0] or 0
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+    sizes = found.where((F.col("kind") == ROWS) & (F.col("a") == F.col("b"))).groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n"))
+    parted = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / WEIGHT)).cast("int")
+    counts = stored(clusters.join(sizes, "id").groupBy("root").agg(parted.alias("blocks")))
+    most = counts.agg(F.max("blocks")).first()[0] or 0
+    blocks = F.col("blocks")
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
     # a class of a large cluster goes to each pair of blocks that holds its own
     pair = F.struct(F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"))
@@ -365,7 +422,7 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
 
     text = docs.join(member.withColumnRenamed("id", "doc_id").hint("merge"), "doc_id")
     linked = text.mapInArrow(fetch, MOVE).repartition(parts, "p").mapInArrow(verify, "id long, root long")
-    if largest > BLOCK:
+    if most > 1:
         linked = components(linked.select(F.col("id").alias("a"), F.col("root").alias("b")))
     else:
         linked = linked.groupBy("id").agg(F.min("root").alias("root"))

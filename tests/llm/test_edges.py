@@ -127,6 +127,33 @@ def test_large_clusters_and_many_edges(spark, monkeypatch, block, one_task):
     assert got == linked(sets, 85)
 
 
+@pytest.mark.parametrize("percent", [55, 80, 85])
+def test_long_sets_against_all_pairs(spark, monkeypatch, percent):
+    r = np.random.default_rng(9)
+    rows = []
+    for base in (prose(s, 640).split() for s in (11, 12, 13)):
+        for i in range(14):  # from 400 to 640 words, some changed
+            w = base[int(r.integers(0, 60)) : int(r.integers(460, 641))]
+            for j in r.integers(0, len(w), int(r.integers(0, 12))):
+                w[j] = f"x{j}"
+            rows.append((len(rows), " ".join(w)))
+    sets = {i: {tuple(w[j : j + 4]) for j in range(len(w) - 3)} for i, w in ((i, t.split()) for i, t in rows)}
+    monkeypatch.setattr(op8_ngram_join, "WEIGHT", 1500)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {x.doc_id: x.component_id for x in op8_ngram_join.near_duplicates(df, percent=percent).collect()}
+    assert got == linked(sets, percent)
+
+
+def test_unlike_long_texts_are_no_cluster(spark, monkeypatch):
+    found = []
+    monkeypatch.setattr(op8_ngram_join, "_sketch", lambda docs, n: np.zeros(1 << op8_ngram_join.SLOTS, np.uint8))  # as full as can be
+    monkeypatch.setattr(op8_ngram_join, "components", lambda edges: found.append(edges.count()) or common.components(edges))
+    rows = [(i, " ".join((prose(100 + i, 700), "one line that all of these texts share", prose(200 + i, 300)))) for i in range(24)]
+    got = op8_ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(x.doc_id == x.component_id for x in got)
+    assert found[0] < 4  # 23 edges make one cluster of all
+
+
 def test_tree_join_against_all_pairs():
     r = np.random.default_rng(3)
     centres = r.integers(0, 9, (12, 16))

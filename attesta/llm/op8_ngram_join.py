@@ -33,6 +33,8 @@ from attesta.llm.repeats import texts
 
 GROUPS, LEAF, FAN, BLOCK, SLOTS = 16, 64, 16, 4096, 23
 LONG, WEIGHT = 512, 1 << 21
+#: Bytes of listed tokens, unpacked, that a task is to get, and of sets that a batch holds before they leave.
+TASK_BYTES, SENT_BYTES = 48 << 20, 16 << 20
 TOKENS, MEMBERS, ROWS, PAIRS = 0, 1, 2, 3
 _MOVE = pa.schema([("p", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary())])
 MOVE = "p int, kind int, blob binary"
@@ -154,11 +156,12 @@ def _sketch(docs: DataFrame, n: int) -> np.ndarray:
         tidy()
 
     def total(batches):
-        for x, rows in by_bucket(batches).items():
-            sums = np.zeros(width, np.int64)
-            for _, b in rows:
-                step, times = unpack(b, np.uint32, np.uint16)
-                sums[np.cumsum(step, dtype=np.int64) - x * width] += times
+        ranged: dict[int, np.ndarray] = {}  # added up as rows come, for they grow with the input
+        for part in batches:
+            for x, b in zip(part.column("p").to_pylist(), part.column("blob"), strict=True):
+                step, times = unpack(b.as_buffer(), np.uint32, np.uint16)
+                ranged.setdefault(x, np.zeros(width, np.int64))[np.cumsum(step, dtype=np.int64) - x * width] += times
+        for x, sums in ranged.items():
             code = np.where(sums < 32, sums, np.minimum(255, 32 + 9 * np.log2(np.maximum(sums, 32) / 32))).astype(np.uint8)
             yield batches_of(_MOVE, p=[x], kind=[TOKENS], blob=[code.tobytes()])
 
@@ -168,6 +171,15 @@ def _sketch(docs: DataFrame, n: int) -> np.ndarray:
     return out
 
 
+def _tasks(sketch: np.ndarray, percent: int, least: int) -> int:
+    """Tasks among which the sets behind a sketch are dealt: a task's share stays the same however large the input and
+    whatever number the session has for its shuffles, which is only the least."""
+    code = np.arange(256)
+    shingled = np.bincount(sketch, minlength=256) @ np.where(code < 32, code, 32 * 2.0 ** ((code - 32) / 9))
+    listed = shingled * (100 - percent) / 100 * sum(np.dtype(x).itemsize for x in _TOKEN)
+    return max(least, int(np.ceil(listed / TASK_BYTES)))
+
+
 def _dealt(lists: list[np.ndarray], buckets: int, columns: tuple):
     """Bucket and packed rows (half a token, columns of its set) of the tokens of each set."""
     rep = np.repeat(np.arange(len(lists)), [len(t) for t in lists])
@@ -346,7 +358,8 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
     """docs (doc_id, text) -> doc_id, n_shingles, component_id: a row for each row with a doc_id."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    buckets = parts = partitions(spark)
+    counted = _sketch(docs, n)
+    buckets = parts = _tasks(counted, percent, partitions(spark))
 
     def told(kind: int, a, b, n) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(np.ascontiguousarray(a)), pa.array(np.ascontiguousarray(b)), pa.array(n)], names=["kind", "a", "b", "n"])
@@ -371,7 +384,8 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
                     yield told(TOKENS, a, b, np.zeros(len(a), np.int64))
         tidy()
 
-    sketch = spark.sparkContext.broadcast(_sketch(docs, n))
+    sketch = spark.sparkContext.broadcast(counted)
+    del counted
     found = stored(_scan(docs, n, percent, buckets, sketch).repartition(parts, "p").mapInArrow(settle, "kind int, a long, b long, n long"))
     sketch.destroy()  # what it served for is written
     tidy()
@@ -387,20 +401,28 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
     member = clusters.join(counts, "root").select("id", "root", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("o")).select("id", "root", pair.alias("pair")).groupBy("id", "root").agg(F.collect_set("pair").alias("pairs"))
 
     def fetch(batches):
+        def sent(at: dict[int, list]) -> pa.RecordBatch:
+            p, blob = [], []
+            for k, rows in at.items():
+                head = pack(*(np.array([r[c] for r in rows], np.int64) for c in range(4)), np.array([len(r[4]) for r in rows], np.int64))
+                p.append(k)
+                blob.append(len(head).to_bytes(8, "little") + head + pack(np.concatenate([r[4] for r in rows])))
+            return batches_of(_MOVE, p=p, kind=[TOKENS] * len(p), blob=blob)
+
         for b in batches:
             roots, pairs = b.column("root").to_pylist(), b.column("pairs").to_pylist()
             at: dict[int, list] = {}
+            held = 0
             for (doc, raw), root, many in zip(texts(b), roots, pairs, strict=True):
                 s = shingles(raw, n)
                 for x in many:
                     key = np.array([root, x["i"], x["j"]], np.int64).view(U64)
                     at.setdefault(int(mix(key + U64(7) * np.arange(3, dtype=U64)).sum() % U64(buckets)), []).append((root, x["i"], x["j"], doc, s))
-            p, blob = [], []
-            for k, rows in at.items():
-                head = pack(*(np.array([r[c] for r in rows], np.int64) for c in range(4)), np.array([len(r[4]) for r in rows], np.int64))
-                p.append(k)
-                blob.append(len(head).to_bytes(8, "little") + head + pack(np.concatenate([r[4] for r in rows])))
-            yield batches_of(_MOVE, p=p, kind=[TOKENS] * len(p), blob=blob)
+                    held += s.nbytes
+                    if held > SENT_BYTES:  # a set of a large cluster leaves once for each pair of blocks
+                        yield sent(at)
+                        at, held = {}, 0
+            yield sent(at)
         tidy()
 
     def verify(batches):

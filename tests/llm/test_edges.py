@@ -127,6 +127,19 @@ def test_large_clusters_and_many_edges(spark, monkeypatch, block, one_task):
     assert got == linked(sets, 85)
 
 
+def test_tasks_of_the_join_grow_with_the_input(spark, monkeypatch):
+    dealt, scan = [], op8_ngram_join._scan
+    monkeypatch.setattr(op8_ngram_join, "_scan", lambda docs, n, percent, buckets, sketch: dealt.append(buckets) or scan(docs, n, percent, buckets, sketch))
+    monkeypatch.setattr(op8_ngram_join, "TASK_BYTES", 2000)
+    monkeypatch.setattr(op8_ngram_join, "SENT_BYTES", 2000)  # about three sets, so a batch leaves in several rows
+    rows = [(100 * s + i, edited(prose(s, 90), i, i % 5)) for s in range(1, 5) for i in range(8)]
+    sets = {i: {tuple(w[j : j + 4]) for j in range(len(w) - 3)} for i, w in ((i, t.split()) for i, t in rows)}
+    for some in (rows[:8], rows):
+        got = {r.doc_id: r.component_id for r in op8_ngram_join.near_duplicates(spark.createDataFrame(some, "doc_id long, text string").coalesce(1)).collect()}
+        assert got == linked({i: sets[i] for i, _ in some}, 85)
+    assert dealt[1] > 3 * dealt[0] > 12  # 4 are the session's
+
+
 @pytest.mark.parametrize("percent", [55, 80, 85])
 def test_long_sets_against_all_pairs(spark, monkeypatch, percent):
     r = np.random.default_rng(9)

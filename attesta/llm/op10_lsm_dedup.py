@@ -54,9 +54,10 @@ class FingerprintLog:
         moved = repeats.scan(batch, tokens, self.width, self.gram, False, self.points)
         for _, run, _ in self.runs:
             moved = moved.unionByName(run)
-        found = repeats.settled(moved, False, keep_run=more)
+        n = repeats.tasks(batch, self.points)
+        found = repeats.settled(moved, False, n, keep_run=more)
         self.seen = batch if self.seen is None else self.seen.unionByName(batch)
-        verified = repeats.contested(self.seen, found, tokens, self.width, False, self.newest)
+        verified = repeats.contested(self.seen, found, tokens, self.width, False, n, self.newest)
         if more:
             self.runs.append((0, found.where(F.col("kind") == repeats.RUN).select("p", "kind", "blob"), None))
             self._compact()
@@ -66,7 +67,7 @@ class FingerprintLog:
     def _compact(self):
         level = 0
         while sum(at == level for at, *_ in self.runs) >= self.fan:
-            merged = repeats.merged_runs([run for at, run, _ in self.runs if at == level])
+            merged = repeats.merged_runs(runs := [run for at, run, _ in self.runs if at == level], repeats.tasks(runs[0], self.points))
             self.runs = [(level + 1, merged, None), *(r for r in self.runs if r[0] != level)]
             level += 1
 

@@ -37,8 +37,9 @@ def remove_repeats(docs: DataFrame, carry: list[str] | None = None, width: int =
     base = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in carry or ["doc_id"]]).alias("carry"))
     pairs = base.select("doc_id", "text")
     points = repeats.split_points(pairs, tokens, width, gram, 3 * partitions(docs.sparkSession))
-    found = repeats.settled(repeats.scan(pairs, tokens, width, gram, True, points), True)
-    more = repeats.contested(pairs, found, tokens, width, True)
+    n = repeats.tasks(docs, points)
+    found = repeats.settled(repeats.scan(pairs, tokens, width, gram, True, points), True, n)
+    more = repeats.contested(pairs, found, tokens, width, True, n)
     intervals = found.where(F.col("kind") == repeats.INTERVALS).select("doc", "start", "count").unionByName(more.select("doc", "start", "count"))
     joined = repeats.covers(base, intervals)
 

@@ -15,13 +15,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attesta.llm.common import batches_of, by_bucket, pack, partitions, runs, stored, tidy, unpack
-from attesta.llm.windows import compacted, contest, merge_join, packed, settle, several, stretches, unpacked
+from attesta.llm.windows import KINDS, compacted, contest, merge_join, packed, settle, several, stretches, unpacked
 
 MOVE = "p int, kind int, blob binary"
 FOUND = "kind int, doc long, start long, count long, gram long, offset int, p int, blob binary"
 STRETCHES, INTERVALS, CONTESTED, RUN = 0, 1, 2, 3
 _MOVE = pa.schema([("p", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary())])
 _FOUND = pa.schema([("kind", pa.int32()), ("doc", pa.int64()), ("start", pa.int64()), ("count", pa.int64()), ("gram", pa.int64()), ("offset", pa.int32()), ("p", pa.int32()), ("blob", pa.binary())])
+#: Bytes of stretches, unpacked, that a range is to hold.
+RANGE_BYTES = 8 << 20
 Tokens = Callable[[bytes], np.ndarray]
 
 
@@ -59,20 +61,29 @@ def scan(docs: DataFrame, tokens: Tokens, w: int, k: int, same_doc: bool, splitt
 
 def split_points(docs: DataFrame, tokens: Tokens, w: int, k: int, buckets: int, sample: int = 512) -> np.ndarray:
     """Splitters between ranges of leading tokens, from the stretches of a bounded sample of documents. They only
-    balance the ranges: any splitters give the same result."""
-    share = min(1.0, 2 * sample / max(1, docs.count()))
+    balance the ranges: any splitters give the same result. There are so many ranges, `buckets` at least, that by the
+    sample's stretches a document none holds more than `RANGE_BYTES`, however large the input."""
+    rows = docs.count()
+    share = min(1.0, 2 * sample / max(1, rows))
     got = docs.select("doc_id", "text").where("doc_id is not null").sample(share, 7).limit(sample).toArrow()
     keys = np.sort(np.concatenate([stretches(((d, tokens(t)) for d, t in texts(b)), w, k)[0] for b in got.to_batches()] or [np.empty(0, np.uint64)]))
+    size = len(keys) / max(1, got.num_rows) * rows * sum(np.dtype(x).itemsize for x in KINDS)
+    buckets = max(buckets, int(np.ceil(size / RANGE_BYTES)))
     return np.unique(keys[np.linspace(0, len(keys) - 1, buckets + 1).astype(int)[1:-1]]) if len(keys) else keys
 
 
+def tasks(docs: DataFrame, splitters: np.ndarray) -> int:
+    """Tasks among which the ranges are dealt, three to each; the session's own number at least."""
+    return max(partitions(docs.sparkSession), -(-(len(splitters) + 1) // 3))
+
+
 def _rows(kind: int, p: int, doc, start, count, gram=None, offset=None) -> pa.RecordBatch:
     n = len(doc)
     none = pa.nulls(n, pa.int64())
     return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int32)), pa.array(np.asarray(doc, np.int64)), pa.array(np.asarray(start, np.int64)), pa.array(np.asarray(count, np.int64)), none if gram is None else pa.array(gram.view(np.int64)), pa.nulls(n, pa.int32()) if offset is None else pa.array(np.asarray(offset, np.int32)), pa.array(np.full(n, p, np.int32)), pa.nulls(n, pa.binary())], schema=_FOUND)
 
 
-def settled(moved: DataFrame, same_doc: bool, keep_run: bool = False) -> DataFrame:
+def settled(moved: DataFrame, same_doc: bool, n: int, keep_run: bool = False) -> DataFrame:
     """Intervals, contested stretches and, if asked for, a sorted run of what is new in each range; written to the shared
     folder. Each RUN row of `moved` is a range of one historical run, in order; the batch is sorted by itself and
     merge-joined with every run, which stays as it is."""
@@ -99,11 +110,10 @@ def settled(moved: DataFrame, same_doc: bool, keep_run: bool = False) -> DataFra
                 yield batches_of(_FOUND, kind=[RUN], doc=[None], start=[None], count=[None], gram=[None], offset=[None], p=[p], blob=[packed(fresh)])
         tidy()
 
-    n = partitions(moved.sparkSession)
     return stored(moved.repartition(n, "p").mapInArrow(run, FOUND))
 
 
-def merged_runs(tables: list[DataFrame]) -> DataFrame:
+def merged_runs(tables: list[DataFrame], n: int) -> DataFrame:
     """One run of several, written to the shared folder: ranges of one p are merged and keep their order."""
 
     def run(batches):
@@ -114,10 +124,10 @@ def merged_runs(tables: list[DataFrame]) -> DataFrame:
     moved = tables[0]
     for t in tables[1:]:
         moved = moved.unionByName(t)
-    return stored(moved.repartition(partitions(moved.sparkSession), "p").mapInArrow(run, MOVE))
+    return stored(moved.repartition(n, "p").mapInArrow(run, MOVE))
 
 
-def contested(docs: DataFrame, found: DataFrame, tokens: Tokens, w: int, same_doc: bool, newer_than: int | None = None) -> DataFrame:
+def contested(docs: DataFrame, found: DataFrame, tokens: Tokens, w: int, same_doc: bool, n: int, newer_than: int | None = None) -> DataFrame:
     """Intervals (doc, start, count) of contested windows that an equal window precedes."""
     part = F.struct("p", "start", "count", "gram", "offset")
     wanted = found.where(F.col("kind") == CONTESTED).groupBy("doc").agg(F.collect_list(part).alias("parts"))
@@ -152,9 +162,9 @@ def contested(docs: DataFrame, found: DataFrame, tokens: Tokens, w: int, same_do
         for p, rows in by_bucket(batches).items():
             cols, body = [], []
             for _, b in rows:
-                n = int.from_bytes(b[:8], "little")
-                cols.append(unpack(b[8 : 8 + n], *[np.int64] * 5))
-                body.append(unpack(b[8 + n :], kind)[0])
+                k = int.from_bytes(b[:8], "little")
+                cols.append(unpack(b[8 : 8 + k], *[np.int64] * 5))
+                body.append(unpack(b[8 + k :], kind)[0])
             doc, start, count, gram, offset = (np.concatenate(x) for x in zip(*cols, strict=True))
             whole = np.concatenate(body)
             at = np.concatenate([[0], np.cumsum(count + w - 1)])
@@ -163,7 +173,6 @@ def contested(docs: DataFrame, found: DataFrame, tokens: Tokens, w: int, same_do
             yield _rows(INTERVALS, p, *contest(gram.view(np.uint64), doc, start, count.astype(np.int32), offset.astype(np.int32), text, w, same_doc, new))
         tidy()
 
-    n = partitions(docs.sparkSession)
     return text.join(wanted, "doc").mapInArrow(cut, MOVE).repartition(n, "p").mapInArrow(compare, FOUND)
 
 

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from attesta.llm import common, op1_langid, op2_warc, op3_bpe, op4_packing, op5_topk, op6_suffix_dedup, op7_mixing, op8_ngram_join, op9_quality, op10_lsm_dedup
+from attesta.llm import common, op1_langid, op2_warc, op3_bpe, op4_packing, op5_topk, op6_suffix_dedup, op7_mixing, op8_ngram_join, op9_quality, op10_lsm_dedup, repeats
 from attesta.llm.queries import QUERIES
 
 
@@ -257,6 +257,32 @@ def test_warc_from_response_records(spark):
     assert op2_warc.visible("a<script>b</script>c<!-- d --><style>e" + "<style>" * 50_000).startswith("a c <style>e")
 
 
+def uncovered(rows, width, joint):
+    """Of (id, parts): the parts outside windows that a smaller id has."""
+    seen, out = set(), {}
+    for i, parts in rows:
+        windows = [joint.join(parts[j : j + width]) for j in range(len(parts) - width + 1)]
+        gone = {j + k for j, w in enumerate(windows) if w in seen for k in range(width)}
+        out[i] = joint.join(x for j, x in enumerate(parts) if j not in gone)
+        seen.update(windows)
+    return out
+
+
+def test_ranges_of_repeats_grow_with_the_input(spark, monkeypatch):
+    dealt, settled = [], repeats.settled
+    monkeypatch.setattr(repeats, "settled", lambda moved, same_doc, n, **more: dealt.append(n) or settled(moved, same_doc, n, **more))
+    monkeypatch.setattr(repeats, "RANGE_BYTES", 200)
+    shared = prose(5, 40)
+    rows = [(i, f"{prose(10 + i, 60)} {shared} {prose(500 + i, 20)}") for i in range(40)]
+    for some in (rows[:10], rows):
+        df = spark.createDataFrame(some, "doc_id long, text string")
+        bytewise = {r.doc_id: bytes(r.kept).decode() for r in op6_suffix_dedup.remove_repeats(df).collect()}
+        assert bytewise == uncovered(some, 100, "")
+        wordwise = {r.doc_id: r.kept for r in op10_lsm_dedup.remove_repeats(df).collect()}
+        assert wordwise == uncovered([(i, t.split()) for i, t in some], 13, " ")
+    assert dealt[3] > 2 * dealt[0] > 8  # 4 are the session's
+
+
 def test_signs_of_the_text_itself_stay(spark):
     passage = prose(10, 30)
     rows = [(1, passage + " é� end", "en", "s", 1), (2, "own � sign " + passage + " tail é", "en", "s", 1)]

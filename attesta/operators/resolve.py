@@ -63,7 +63,8 @@ def contained(records: DataFrame, titles: DataFrame, least: float, rec_id: str =
     rare = prefix.select("token").distinct()
     pairs = files.stored(prefix.join(r.select("rec", F.explode("rec_words").alias("token")).join(rare, "token", "left_semi"), "token").select("rec", "title").distinct())
     whole = t.groupBy("title").agg(F.first("words").alias("words"))
-    both = r.join(pairs.join(whole, "title"), "rec")
+    # pairs are small as a file only: with a title's words in every row they would not fit a driver that broadcasts them
+    both = r.join(pairs.join(whole, "title").hint("merge"), "rec")
     both = both.select("rec", "title", F.size("words").cast("long").alias("n"), F.size(F.array_intersect("words", "rec_words")).cast("long").alias("shared"))
     return both.where(F.col("shared") >= F.col("n") * F.lit(least))
 

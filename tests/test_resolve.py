@@ -66,3 +66,13 @@ def test_best_hit_of_short_titles_and_stop_words(spark, tmp_path):
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert {x.doc_id: (x.item_id, x.c) for x in QUERIES["resolver_best_hit"](spark, str(tmp_path)).collect()} == best(docs, items)
     assert {2, 4, 6, 8} <= set(best(docs, items))
+
+
+def test_pairs_with_words_are_not_broadcast(spark):
+    records = spark.createDataFrame([(1, "one plain title of a work and more"), (2, "nothing of the kind")], "doc_id long, text string")
+    titles = spark.createDataFrame([(7, "one plain title of a work")], "item_id long, text string")
+    got = resolve.contained(records, titles, 0.5)
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin [rec" in plan
+    assert "BroadcastHashJoin [rec" not in plan
+    assert [(r.rec, r.title, r.n, r.shared) for r in got.collect()] == [(1, 7, 6, 6)]
